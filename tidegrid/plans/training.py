@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidegrid.operators import drift, gridding, lateness, redelivery
+from tidegrid.operators import consolidation, drift, gridding, lateness, redelivery, spikes
 from tidegrid.session import read_table
 
 QUERIES: dict = {}
@@ -150,3 +150,50 @@ t as (select collector_run, stream, segment_seq, field, case json_type(v) when '
 i as (select *, segment_seq - row_number() over (partition by collector_run, stream, field, type order by segment_seq) g from t)
 select collector_run, stream, field, type, min(segment_seq) as first_seg, max(segment_seq) as last_seg, sum(n) as n
 from i group by collector_run, stream, field, type, g"""
+
+
+def _scores(spark, sf_dir):
+    states = read_table(spark, sf_dir, "price_states")
+    readings = spikes.long_readings(
+        states, id_col="state_id", source=F.col("instrument_key"), time_ms=F.col("observation_ts"), fields=["last_trade_price", "mark_price"]
+    )
+    return spikes.score_readings(readings).withColumnRenamed("id", "state_id")
+
+
+@query
+def p1_found(spark, sf_dir):
+    return _scores(spark, sf_dir).where("reason is not null").select("state_id", "field_name")
+
+
+@query
+def p1_scores(spark, sf_dir):
+    return _scores(spark, sf_dir)
+
+
+def _consolidated(spark, sf_dir):
+    return consolidation.consolidated_in_scratch(read_table(spark, sf_dir, "hour_sources"), read_table(spark, sf_dir, "segment_rows"))
+
+
+@query
+def p2_found(spark, sf_dir):
+    return _consolidated(spark, sf_dir)[1].select("file_id")
+
+
+@query
+def p2_consolidated(spark, sf_dir):
+    return _consolidated(spark, sf_dir)[0].select("stream", "record_key")
+
+
+_P2 = """
+with fin as (select * from hour_sources where path like '%.seg' or path like '%.parquet'),
+k as (select distinct f.file_id, f.stream, record_key from fin f join segment_rows s on f.file_id = s.file_id where record_key is not null),
+n as (select file_id, stream, count(*) n from k group by all),
+shared as (select a.file_id a, b.file_id b, count(*) c from k a join k b on a.stream = b.stream and a.record_key = b.record_key
+           and a.file_id <> b.file_id group by all)
+"""
+ORACLE["p2_found"] = _P2 + """
+select file_id from hour_sources where file_id not in (select file_id from fin)
+union all select file_id from fin where file_id not in (select file_id from segment_rows)
+union all select distinct a from shared join n x on x.file_id = a join n y on y.file_id = b
+where c = x.n and (y.n > x.n or (y.n = x.n and b < a))"""
+ORACLE["p2_consolidated"] = _P2 + "select distinct stream, record_key from k"
