@@ -222,7 +222,8 @@ def mix_sources(docs: DataFrame, targets: DataFrame, *, block_tokens: int = 512,
     blocks = stored_blocks(docs, block_tokens=block_tokens, **options)
     _, _, mixes = _targets(targets, blocks)
     slots = plan_slots(docs.sparkSession, mixes, shard_blocks=shard_blocks, seed=seed)
-    return slots.join(blocks, ["source", "block_no"]).select("mix_name", "shard", "slot", "source", "round", "block_no", "n_tokens", "ids")
+    # the planner can't know how many slots the plan makes; a shuffled join, built on the slots, holds at any number
+    return slots.hint("shuffle_hash").join(blocks, ["source", "block_no"]).select("mix_name", "shard", "slot", "source", "round", "block_no", "n_tokens", "ids")
 
 
 def mix_shares(docs: DataFrame, targets: DataFrame, *, block_tokens: int = 512, seed: int = 17, **options) -> DataFrame:
@@ -235,7 +236,7 @@ def mix_shares(docs: DataFrame, targets: DataFrame, *, block_tokens: int = 512,
     rows, counts, mixes = _targets(targets, blocks)
     slots = plan_slots(spark, mixes, seed=seed)
     used = slots.groupBy("mix_name", "source", "block_no").agg(F.count(F.lit(1)).alias("times"))
-    joined = used.join(blocks.select("source", "block_no", "n_tokens"), ["source", "block_no"])
+    joined = used.hint("shuffle_hash").join(blocks.select("source", "block_no", "n_tokens"), ["source", "block_no"])
     reached = joined.groupBy("mix_name", "source").agg(
         F.sum(F.col("times") * F.col("n_tokens")).alias("n_tokens"), F.sum("times").alias("n_slots"), F.max("times").alias("most_repeats")
     )
