@@ -20,6 +20,10 @@ from tidegrid.llm.tokens import TOKENIZER_DIR, LibraryEncoder, encoded, slices,
 from tidegrid.session import add_package, scratch_path
 
 
+#: Rows of (source, task, start) that may be broadcast: some 30 MB.
+MOST_BROADCAST_ROWS = 500_000
+
+
 def source_name(column):
     """Sources spelled with other case or blanks are the same source."""
     return F.lower(F.regexp_replace(column, r"^[\s ]+|[\s ]+$", ""))
@@ -92,6 +96,8 @@ def stored_blocks(docs: DataFrame, **options) -> DataFrame:
     by_task = blocks.groupBy("source", "task").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     starts = by_task.select("source", "task", F.coalesce(before, F.lit(0)).alias("start"))
+    if by_task.count() <= MOST_BROADCAST_ROWS:  # a row for each task and source; beyond the bound, a shuffled join
+        starts = F.broadcast(starts)
     numbered = blocks.join(starts, ["source", "task"])
     return numbered.select("source", (F.col("start") + F.col("at")).alias("block_no"), "n_tokens", "ids")
 
