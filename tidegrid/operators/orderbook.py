@@ -30,7 +30,7 @@ class BookFold:
     @staticmethod
     def _merged(levels: dict, changes) -> dict | None:
         out = dict(levels)
-        for price, quantity in changes or ():
+        for price, quantity in changes if changes is not None else ():
             try:
                 p, q = Decimal(price), Decimal(quantity)
             except (InvalidOperation, TypeError):
