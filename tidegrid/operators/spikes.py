@@ -37,6 +37,9 @@ def _runs(sane: DataFrame, chunk_ms: int) -> DataFrame:
     rows = sane.withColumn("chunk", F.floor(F.col("at") / chunk_ms)).withColumn("x", F.log("value"))
     own = Window.partitionBy(*KEYS, "chunk").orderBy("at", "id")
     groups = Window.partitionBy(*KEYS).orderBy("chunk")
+    # what follows is what comes before in falling order: a growing frame is folded, a shrinking one would be read anew
+    backwards = Window.partitionBy(*KEYS, "chunk").orderBy(F.desc("at"), F.desc("id"))
+    later_groups = Window.partitionBy(*KEYS).orderBy(F.desc("chunk"))
     place = F.struct("at", "id", "value")
     edges = rows.groupBy(*KEYS, "chunk").agg(F.count(F.lit(1)).alias("rows"), F.max(place).alias("last"))
     edges = edges.select(
@@ -52,11 +55,11 @@ def _runs(sane: DataFrame, chunk_ms: int) -> DataFrame:
     starts = starts.select(
         *KEYS, "chunk",
         F.last("s_last", True).over(groups.rowsBetween(Window.unboundedPreceding, -1)).alias("s_before"),
-        F.first("s_first", True).over(groups.rowsBetween(1, Window.unboundedFollowing)).alias("s_after"),
+        F.last("s_first", True).over(later_groups.rowsBetween(Window.unboundedPreceding, -1)).alias("s_after"),
     )
     rows = rows.join(starts, [*KEYS, "chunk"])
     begin = F.coalesce(F.last("start", True).over(own.rowsBetween(Window.unboundedPreceding, 0)), "s_before")
-    end = F.coalesce(F.first("start", True).over(own.rowsBetween(1, Window.unboundedFollowing)), "s_after", F.col("total") + 1)
+    end = F.coalesce(F.last("start", True).over(backwards.rowsBetween(Window.unboundedPreceding, -1)), "s_after", F.col("total") + 1)
     return rows.select(
         *KEYS, "chunk", "at", "id", "x", (F.col("x") - F.log("before")).alias("diff"), (end - begin).alias("run"), (F.col("pos") != begin).alias("again")
     )
