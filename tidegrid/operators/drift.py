@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegrid.session import materialize
+
 #: Canonical field: (type in the one table, other names it goes by).
 ALIASES: dict[str, tuple[str, tuple[str, ...]]] = {
     "instrument_key": ("key", ("inst_key", "instrument", "instrumentKey", "symbol_key")),
@@ -111,9 +113,8 @@ def changes(records: DataFrame) -> DataFrame:
     content of like shape and magnitude. What isn't matched is added or removed. A field of several types in a segment
     is retyped when its set of types changes.
     """
-    found = fields(records)
+    found = materialize(fields(records), "fields")
     segments = found.select("collector_run", "stream", "segment_seq").distinct()
-    spans = lifespans(found)
     producer = ["collector_run", "stream"]
     profile = found.groupBy(*producer, "segment_seq", "field").agg(
         F.concat_ws("+", F.array_sort(F.collect_set("type"))).alias("types"),
@@ -161,7 +162,6 @@ def changes(records: DataFrame) -> DataFrame:
     added = added.join(renamed.select(*at, "new_name"), [*at, "new_name"], "left_anti")
     removed = ends.select(*at, F.lit("removed").alias("change_kind"), F.col("field").alias("old_name"), F.lit("").alias("new_name"))
     removed = removed.join(renamed.select(*at, "old_name"), [*at, "old_name"], "left_anti")
-    del spans
     return retyped.unionByName(renamed).unionByName(added).unionByName(removed)
 
 
