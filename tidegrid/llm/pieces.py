@@ -180,6 +180,7 @@ class Splitter:
             if run not in self.runs:
                 self.runs[run] = self.count(run)
             self.change[i] = self.runs[run] - (counts[i - 1] + counts[i])
+        self.points = np.searchsorted(np.flatnonzero((data & 0xC0) != 0x80), bounds)  # characters before each word
         self.units = np.flatnonzero(self.strength >= SENTENCE)
         self.unit_of = np.searchsorted(self.units, first)
 
@@ -191,7 +192,7 @@ class Splitter:
         return np.where(high - low >= 2, self.change[np.maximum(high - 1, 0)], 0)
 
     def pieces(self, limit: int, overlap: int):
-        """Columns of the pieces of the slice's oversized texts: text row, piece number, tokens, shared tokens, strength, bytes."""
+        """Columns of the pieces of the slice's oversized texts: text row, number, tokens, shared tokens and characters, strength, bytes."""
         import numpy as np
 
         rows, low, high, special = [], [], [], []
@@ -221,7 +222,7 @@ class Splitter:
                     begin += 1
         rows, low, high = (np.array(x, np.int64) for x in (rows, low, high))
         if not len(rows):
-            return rows, rows, rows, rows, rows, []
+            return rows, rows, rows, rows, rows, rows, []
         new = np.concatenate([[True], rows[1:] != rows[:-1]])
         number = np.arange(len(rows)) - np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))
         back = np.searchsorted(self.sums, self.sums[low] - overlap, "left")
@@ -234,6 +235,7 @@ class Splitter:
             shared = self.sums[low] - self.sums[back]
             tokens = self.sums[high] - self.sums[back] + self.ends_in_white_space(back, high)
         shared = shared + self.ends_in_white_space(back, low)
+        lent = self.points[low] - self.points[back]
         strength = np.where(number == 0, 99, self.strength[low])
         texts = [self.raw[x:y] for x, y in zip(self.bounds[back].tolist(), self.bounds[high].tolist())]
         for i in [i for i in range(len(rows)) if special[i] or (i and not new[i] and special[i - 1])]:
@@ -248,11 +250,12 @@ class Splitter:
                     most -= 1
                     held = self.tail(before, most)
                 shared[i] = self.count(before[len(before) - held :]) if held else 0
+                lent[i] = len(before[len(before) - held :].decode("utf-8", "replace")) if held else 0
             texts[i] = self.raw[begin - held : end]
             tokens[i] = self.count(texts[i])
             if begin > self.bounds[low[i]]:
                 strength[i] = INSIDE
-        return rows, number, tokens, shared, strength, texts
+        return rows, number, tokens, shared, lent, strength, texts
 
 
 def split_documents(
@@ -266,9 +269,9 @@ def split_documents(
 ) -> DataFrame:
     """Pieces of each text that is longer than a policy's max_tokens.
 
-    Columns: policy_name, id_col, piece_no (from 0), n_tokens (at most max_tokens), overlap_tokens (shared with the piece
-    before), boundary (strength of the boundary before the piece's own part; 99 at the text's start), text.
-    Without the shared beginnings the pieces of a text join to exactly that text. The shared part is the longest row of
+    Columns: policy_name, id_col, piece_no (from 0), n_tokens (at most max_tokens), overlap_tokens and
+    overlap_chars (the beginning shared with the piece before), boundary (strength of the boundary before the piece's own part; 99 at the text's start), text.
+    Without their first overlap_chars characters the pieces of a text join to exactly that text. The shared part is the longest row of
     whole words at the end of the piece before that has at most overlap_tokens tokens; next to a cut within a word it may
     begin within a word. A single character of more tokens than the limit allows stays whole.
     Null, empty and short texts have no pieces. Repeated rows each give their pieces. A policy without a positive
@@ -292,6 +295,7 @@ def split_documents(
             T.StructField("piece_no", T.IntegerType()),
             T.StructField("n_tokens", T.IntegerType()),
             T.StructField("overlap_tokens", T.IntegerType()),
+            T.StructField("overlap_chars", T.IntegerType()),
             T.StructField("boundary", T.IntegerType()),
             T.StructField("text", T.StringType()),
         ]
@@ -305,9 +309,9 @@ def split_documents(
             splitter = splitter or Splitter(tokenizer)
             splitter.slice(table["text"])
             for name, limit, overlap in rules:
-                rows, number, tokens, shared, strength, texts = splitter.pieces(limit, overlap)
+                rows, *numbers, texts = splitter.pieces(limit, overlap)
                 if len(rows):
-                    columns = [pa.array(x.astype("int32")) for x in (number, tokens, shared, strength)]
+                    columns = [pa.array(x.astype("int32")) for x in numbers]
                     text = pa.array(texts, pa.binary()).cast(pa.string())
                     name_column = pa.array([name] * len(rows), pa.string())
                     out = pa.Table.from_arrays([name_column, table["id"].take(pa.array(rows)), *columns, text], schema.names)
