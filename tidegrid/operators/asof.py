@@ -27,18 +27,14 @@ def asof_join(
     r = right.select(*of(), right_ms.alias("_t"), order.alias("_o"), row.alias("_r"), F.lit(0).alias("_side")).where("_t is not null")
     for k in keys:
         r = r.where(F.col(k).isNotNull())
-    r = r.groupBy(*keys, "_t").agg(F.max_by("_r", "_o").alias("_r"), F.first("_side").alias("_side"))
     l = left.select(*of(), left_ms.alias("_t"), F.struct(*left.columns).alias("_l"), F.lit(1).alias("_side"))
     both = l.unionByName(r, allowMissingColumns=True).withColumn("_c", F.coalesce(chunk_of(F.col("_t"), chunk_ms), F.lit(-(2**62))))
-    edges = both.groupBy(*keys, "_c").agg(F.max_by("_r", F.when(F.col("_side") == 0, F.col("_t"))).alias("_last"))
+    # what a chunk inherits from those before it goes in as its first row, so nothing is joined back
+    edges = both.groupBy(*keys, "_c").agg(F.max_by("_r", F.when(F.col("_side") == 0, F.struct("_t", "_o"))).alias("_last"))
     carried = F.last("_last", True).over(Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1))
-    edges = edges.select(*[F.col(k).alias(f"e{k}") for k in keys], F.col("_c").alias("e_c"), carried.alias("_carry"))
-    within = F.last("_r", True).over(Window.partitionBy(*keys, "_c").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0))
-    same = [both[k].eqNullSafe(edges[f"e{k}"]) for k in keys] + [both["_c"] == edges["e_c"]]
-    condition = same[0]
-    for s in same[1:]:
-        condition = condition & s
-    met = both.join(edges, condition).withColumn("_m", F.coalesce(within, "_carry")).where("_side = 1")
+    carry = edges.select(*keys, "_c", carried.alias("_r"), F.lit(-(2**63)).cast("long").alias("_t"), F.lit(0).alias("_side")).where("_r is not null")
+    within = F.last("_r", True).over(Window.partitionBy(*keys, "_c").orderBy("_t", "_side", "_o").rowsBetween(Window.unboundedPreceding, 0))
+    met = both.unionByName(carry, allowMissingColumns=True).withColumn("_m", within).where("_side = 1")
     met = met.withColumn("_m", F.when(F.col("_t").isNotNull() & (F.lit(True) if tolerance_ms is None else F.col("_t") - F.col(f"_m.{time_name}") <= tolerance_ms), F.col("_m")))
     return met.select(*[F.col("_l")[c].alias(c) for c in left.columns], *[F.col("_m")[c].alias(c) for c in [time_name, *right_cols]])
 
