@@ -29,6 +29,8 @@ WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 SPACE, LETTER, NUMBER, OTHER, NONE = range(5)
 #: Texts are cut into words in blocks of about this many bytes; a worker keeps the ids of up to KNOWN_BYTES of words.
 BLOCK_BYTES, KNOWN_BYTES = 2_000_000, 24_000_000
+#: Words are encoded in parts of about this many bytes (a longer word by itself).
+ROUND_BYTES = 2_000_000
 
 #: Contract the pairs of all unfinished words, one rank per word and round. The rows of `init` come ordered by
 #: (wid, pos) and one thread keeps them so; unordered rows raise an error. A merge's result only occurs in merges of
@@ -151,7 +153,7 @@ class WordEncoder:
         import duckdb
 
         self.byte_ids, merges = _vocabulary(path)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "800MB", "temp_directory": ""})
         self.con.register("merge_file", merges)
         self.con.execute("create table merges as select * from merge_file")
 
@@ -162,6 +164,16 @@ class WordEncoder:
 
         words = words.cast(pa.large_binary())
         offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+        if len(words) > 1 and offsets[-1] - offsets[0] > ROUND_BYTES:  # all words, in parts that bound the recursion's tables
+            cut = min(max(int(np.searchsorted(offsets, offsets[0] + ROUND_BYTES)), 1), len(words) - 1)
+            parts = []
+            while len(words):
+                parts.append(self.encode(words.slice(0, cut)))
+                words = words.slice(cut)
+                left = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+                cut = max(int(np.searchsorted(left, left[0] + ROUND_BYTES)), 1)
+            counts = np.concatenate([np.diff(o) for _, o in parts])
+            return np.concatenate([i for i, _ in parts]), np.concatenate([[0], np.cumsum(counts)])
         data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] else np.zeros(0, np.uint8)
         sizes = np.diff(offsets)
         init = pa.table(
