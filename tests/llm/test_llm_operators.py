@@ -28,7 +28,7 @@ def library():
 
 
 def test_merges_only_build_on_lower_ranks():
-    _, merges = tokens._vocabulary(VOCABULARY)
+    _, merges, _ = tokens._vocabulary(VOCABULARY)
     made = dict(zip(merges["made"].to_pylist(), merges["rk"].to_pylist()))
     assert len(made) == merges.num_rows
     for pair, rank in zip(merges["pair"].to_pylist(), merges["rk"].to_pylist()):
@@ -47,6 +47,15 @@ def test_ids_equal_the_library(spark, library, slice_bytes):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_long_unbroken_words_equal_the_library(library):
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=20_000)), "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(5_000)), "qx" * 3_000]
+    _, _, _, first, ids, counts = tokens.encoded(pa.array(texts), tokens.WordEncoder(VOCABULARY))
+    assert ids.tolist() == [i for t in texts for i in library(t)] and len(first) == 4 and counts.sum() == len(ids)
+
+
 def test_ids_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert tokens.encode_documents(docs).dtypes == [("doc_id", "bigint"), ("ids", "array<int>")]

@@ -124,7 +124,7 @@ def word_starts(data, doc_starts):
 
 @functools.lru_cache(maxsize=2)
 def _vocabulary(path: str):
-    """(ids of the 256 bytes, merge table) of a byte-level BPE file."""
+    """(ids of the 256 bytes, merge table, which bytes follow which within any token) of a byte-level BPE file."""
     import numpy as np
     import pyarrow as pa
 
@@ -143,7 +143,12 @@ def _vocabulary(path: str):
             "made": pa.array([ids[a + b] for a, b in zip(left, right)], pa.int32()),
         }
     )
-    return byte_ids, merges
+    value = {c: b for b, c in shown.items()}
+    joined = np.zeros((256, 256), bool)
+    for token in ids:
+        part = [value[c] for c in token if c in value]
+        joined[part[:-1], part[1:]] = True
+    return byte_ids, merges, joined
 
 
 class WordEncoder:
@@ -152,7 +157,7 @@ class WordEncoder:
     def __init__(self, path: str):
         import duckdb
 
-        self.byte_ids, merges = _vocabulary(path)
+        self.byte_ids, merges, self.joined = _vocabulary(path)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "800MB", "temp_directory": ""})
         self.con.register("merge_file", merges)
         self.con.execute("create table merges as select * from merge_file")
@@ -175,11 +180,18 @@ class WordEncoder:
             counts = np.concatenate([np.diff(o) for _, o in parts])
             return np.concatenate([i for i, _ in parts]), np.concatenate([[0], np.cumsum(counts)])
         data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] else np.zeros(0, np.uint8)
-        sizes = np.diff(offsets)
+        # no token holds two bytes side by side that no vocabulary entry does: what lies before and after is encoded apart,
+        # which keeps long unbroken words short
+        new = np.zeros(len(data), bool)
+        new[1:] = ~self.joined[data[:-1], data[1:]]
+        heads = offsets[:-1] - offsets[0]
+        new[heads[np.diff(offsets) > 0]] = True
+        begins = np.flatnonzero(new)
+        sizes = np.diff(np.append(begins, len(data)))
         init = pa.table(
             {
-                "wid": np.repeat(np.arange(len(words), dtype=np.int32), sizes),
-                "pos": (np.arange(len(data)) - np.repeat(offsets[:-1] - offsets[0], sizes)).astype(np.int32),
+                "wid": np.repeat(np.arange(len(begins), dtype=np.int32), sizes),
+                "pos": (np.arange(len(data)) - np.repeat(begins, sizes)).astype(np.int32),
                 "tok": self.byte_ids[data],
             }
         )
@@ -187,9 +199,10 @@ class WordEncoder:
         out = self.con.sql(CONTRACT).to_arrow_table().combine_chunks()
         self.con.unregister("init")
         ids = out["ids"].combine_chunks() if out["ids"].num_chunks != 1 else out["ids"].chunk(0)
-        counts = np.zeros(len(words), np.int64)
+        counts = np.zeros(len(begins), np.int64)
         counts[out["wid"].to_numpy()] = np.diff(ids.offsets.to_numpy())
-        return ids.flatten().to_numpy().astype(np.int32), np.concatenate([[0], np.cumsum(counts)])
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        return ids.flatten().to_numpy().astype(np.int32), ends[np.searchsorted(begins, offsets - offsets[0])]
 
 
 class KnownWords:
