@@ -130,6 +130,34 @@ def test_book_fold(spark):
     assert out[7].best_bid == 98.0 and out[7].state == "SEQUENCE_GAP"
 
 
+def test_book_reconstruction_follows_every_ladder(spark, tmp_path):
+    from tidegrid.plans import reference
+
+    rng, rows = random.Random(5), []
+    for i in range(400):
+        key, mid = f"BINANCE|linear_perpetual|C{i % 2}-USDT|C{i % 2}USDT", 100.0 + rng.randrange(-20, 20)
+        bids, asks = sorted({mid - rng.randrange(1, 9) for _ in range(4)}, reverse=True), sorted({mid + rng.randrange(1, 9) for _ in range(4)})
+        if i % 50 == 30:
+            bids, asks = asks, bids  # crossed: the fold must refuse it and recover with the next
+        if i % 50 == 40:
+            bids = []
+        rows.append((i, key, dt.datetime(2024, 1, 1), bids, [float(rng.randrange(1, 9)) for _ in bids], asks, [float(rng.randrange(1, 9)) for _ in asks]))
+    rows.append((400, rows[0][1], dt.datetime(2024, 1, 1), [99.0, 99.0, None], [1.0, 0.0, 1.0], [101.0], [1.0]))
+    rows.append((402, rows[0][1], dt.datetime(2024, 1, 1), [99.0, 98.0, 98.0], [1.0, 0.0, 2.0], [101.0, 101.0], [1.0, 3.0]))
+    rows.append((404, rows[0][1], dt.datetime(2024, 1, 1), [98.0, 97.0], [2.0, 2.0], [101.0], [1.0]))
+    schema = "book_id long, instrument_key string, local_timestamp timestamp, bids_price array<double>, bids_qty array<double>, asks_price array<double>, asks_qty array<double>"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "orderbook.parquet"))
+    last = {r.seq // 2: r for r in reference.book_reconstruction(spark, str(tmp_path)).orderBy("seq").collect()}
+    refused = {n for n, _, _, b, _, a, _ in rows if None in b or (b and a and max(b) >= min(a))}
+    assert len(last) == len(rows) and len(refused) == 9
+    for n, _, _, bids, _, asks, _ in rows:
+        got = last[n]
+        if n in refused:
+            assert got.state == "SEQUENCE_GAP"
+        else:
+            assert (got.state, got.best_bid, got.best_ask, got.bid_levels, got.ask_levels) == ("VALID", max(bids, default=None), min(asks), len(set(bids)), len(set(asks)))
+
+
 def _run_stream(spark, df, path, mode="append", name="out"):
     q = df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", path).trigger(availableNow=True).start()
     q.awaitTermination(120)

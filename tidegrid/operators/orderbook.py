@@ -5,7 +5,8 @@ from __future__ import annotations
 import bisect
 from decimal import Decimal, InvalidOperation
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 from tidegrid.session import add_package
 
@@ -123,6 +124,51 @@ def frames_of(pdf):
         }
 
 
+def _last_of_each_price(prices: Column, quantities: Column) -> Column:
+    """Levels (p, q) of a stored side; of a price that comes twice the last, as the fold takes it."""
+    later = lambda i: F.slice(prices, i + 2, F.size(prices))
+    return F.filter(F.arrays_zip(prices.alias("p"), quantities.alias("q")), lambda x, i: ~F.coalesce(F.array_contains(later(i), x["p"]), F.lit(False)))
+
+
+def frames_of_ladders(ladders: DataFrame) -> DataFrame:
+    """Frames (see ``reconstruct``) that lead from each stored ladder of an instrument to its next.
+
+    ladders: instrument_key, seq, bids_price, bids_qty, asks_price, asks_qty (arrays of double, not null). A row's diff holds the levels that
+    changed and quantity 0 for those that went; seq is its update_id. A ladder the fold must refuse (levels that aren't valid, crossed sides)
+    is sent whole, so it opens a gap; the first ladder and one after a refused one are sent whole with a snapshot behind them. Diffs get
+    twice their seq, snapshots one more.
+    """
+    rows = ladders.select(
+        "instrument_key", "seq", _last_of_each_price(F.col("bids_price"), F.col("bids_qty")).alias("b"), _last_of_each_price(F.col("asks_price"), F.col("asks_qty")).alias("a")
+    )
+    inf = F.lit(float("inf"))
+    valid = lambda x: F.coalesce((x["p"] > 0) & (x["p"] < inf) & (x["q"] >= 0) & (x["q"] < inf), F.lit(False))
+    held = lambda side: F.transform(F.filter(side, lambda x: x["q"] > 0), lambda x: x["p"])
+    crossed = F.coalesce(F.array_max(held("b")) >= F.array_min(held("a")), F.lit(False))
+    rows = rows.withColumn("bad", crossed | ~F.forall("b", valid) | ~F.forall("a", valid))
+    w = Window.partitionBy("instrument_key").orderBy("seq")
+    rows = rows.select("*", *[F.lag(c).over(w).alias(f"{c}0") for c in ("seq", "b", "a", "bad")]).withColumn("start", F.coalesce("bad0", F.lit(True)))
+    whole = lambda side: F.transform(side, lambda x: F.array(x["p"].cast("string"), x["q"].cast("string")))
+
+    def change(side: str) -> Column:
+        one = lambda c: F.transform(c, lambda x: F.concat_ws(" ", x["p"].cast("string"), x["q"].cast("string")))
+        price = lambda c: F.transform(c, lambda x: x["p"].cast("string"))
+        new = F.transform(F.array_except(one(side), one(f"{side}0")), lambda x: F.split(x, " "))
+        gone = F.transform(F.array_except(price(f"{side}0"), price(side)), lambda x: F.array(x, F.lit("0")))
+        return F.when(F.col("start") | F.col("bad"), whole(side)).otherwise(F.concat(new, gone))
+
+    none = F.lit(None).cast("long")
+    diffs = rows.select(
+        "instrument_key", (F.col("seq") * 2).alias("seq"), F.lit(False).alias("is_snapshot"), F.col("seq").alias("update_id"),
+        F.when(F.col("start"), F.col("seq")).otherwise(F.col("seq0") + 1).alias("first_id"), F.col("seq0").alias("prev_id"), change("b").alias("bids"), change("a").alias("asks"),
+    )
+    snaps = rows.where("start").select(
+        "instrument_key", (F.col("seq") * 2 + 1).alias("seq"), F.lit(True).alias("is_snapshot"), F.col("seq").alias("update_id"), none.alias("first_id"), none.alias("prev_id"),
+        whole("b").alias("bids"), whole("a").alias("asks"),
+    )
+    return diffs.unionByName(snaps)
+
+
 def reconstruct(frames: DataFrame, *, capacity: int = 10_000) -> DataFrame:
     """The book after every frame of each instrument (columns: see SCHEMA).
 

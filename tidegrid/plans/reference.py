@@ -550,19 +550,9 @@ def book_trust_reason(spark, d):
 
 @case()
 def book_reconstruction(spark, d):
-    """Books folded from frames made of stored ladders: each instrument's first row is a snapshot, later ones are diffs."""
+    """Books folded from frames that lead from each stored ladder of an instrument to its next."""
     o = read_table(spark, d, "orderbook").where("instrument_key is not null and local_timestamp is not null and bids_price is not null and asks_price is not null")
-    levels = lambda p, q: F.zip_with(p, q, lambda x, y: F.array(x.cast("string"), y.cast("string")))
-    rows = o.select("instrument_key", F.col("book_id").alias("seq"), F.col("book_id").alias("update_id"), levels("bids_price", "bids_qty").alias("bids"), levels("asks_price", "asks_qty").alias("asks"))
-    first = rows.groupBy("instrument_key").agg(F.min("seq").alias("first"))
-    diffs = rows.join(first, "instrument_key").select(
-        "instrument_key", (F.col("seq") * 2).alias("seq"), F.lit(False).alias("is_snapshot"), "update_id", F.when(F.col("seq") == F.col("first"), F.col("seq")).otherwise(F.col("seq")).alias("first_id"),
-        F.lag("update_id").over(Window.partitionBy("instrument_key").orderBy("seq")).alias("prev_id"), "bids", "asks",
-    )
-    snaps = rows.join(first, "instrument_key").where("seq = first").select(
-        "instrument_key", (F.col("seq") * 2 + 1).alias("seq"), F.lit(True).alias("is_snapshot"), "update_id", F.lit(None).cast("long").alias("first_id"), F.lit(None).cast("long").alias("prev_id"), "bids", "asks"
-    )
-    return orderbook.reconstruct(diffs.unionByName(snaps))
+    return orderbook.reconstruct(orderbook.frames_of_ladders(o.withColumn("seq", F.col("book_id"))))
 
 
 # Time, exact numbers, JSON, logs, sources
