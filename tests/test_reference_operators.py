@@ -67,6 +67,17 @@ def test_coverage_against_brute_force(spark, seed):
     assert report["c"].status == "ABSENT" and report["c"].missing_ms == 300
 
 
+def test_alignment_expects_every_customer(spark, tmp_path):
+    from tidegrid.plans import reference
+
+    day = lambda n: dt.datetime(2024, 1, n)
+    events = [(1, 7, day(15), "view", 1.0), (2, 500, day(3), "view", 1.0), (3, 900, day(20), "view", 1.0), (4, 7, day(2), "view", 1.0)]
+    spark.createDataFrame(events, "event_id long, user_id long, ts timestamp, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    spark.createDataFrame([(k,) for k in (7, 500, 900, 15_000)], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
+    got = {r.user_id: (r.event_id, r.status) for r in reference.QUERIES["alignment_status_all_keys"](spark, str(tmp_path)).collect()}
+    assert got == {7: (1, "AVAILABLE"), 500: (2, "STALE"), 900: (None, "NEVER_OBSERVED"), 15_000: (None, "NEVER_OBSERVED")}
+
+
 def test_labels_purge_and_split(spark):
     g = spark.createDataFrame([(i * 100, 100.0 + i) for i in range(40)], "ts long, mid double")
     out = research.forward_labels(g, time="ts", price="mid", grid_ms=100, horizons_s=(1, 2)).collect()

@@ -295,6 +295,15 @@ def alignment_status_expected_keys(spark, d):
     return asof.latest_per_key(events(spark, d), AT, keys=["user_id"], time_ms=F.col("t"), seq=["event_id"], value_cols=["event_id"], staleness_ms=DAY, expected=expected)
 
 
+@case(f"""with {EV}, {LATEST}, w as (select c_custkey user_id from customer)
+select user_id, event_id, last_ms, {AT} - last_ms as age_ms, case when last_ms is null then 'NEVER_OBSERVED' when {AT} - last_ms <= {DAY} then 'AVAILABLE' else 'STALE' end as status
+from n full join w using (user_id)""")
+def alignment_status_all_keys(spark, d):
+    """``alignment_status_expected_keys`` with every customer expected."""
+    expected = read_table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
+    return asof.latest_per_key(events(spark, d), AT, keys=["user_id"], time_ms=F.col("t"), seq=["event_id"], value_cols=["event_id"], staleness_ms=DAY, expected=expected)
+
+
 @case(f"""with {EV}, p as (select unnest(range({T0}, {T0 + 30 * DAY}, {6 * HOUR})) at_ms), k as (select distinct venue from e), g as (select * from k, p)
 select g.venue, at_ms, e.t as last_ms, e.event_id, at_ms - e.t as age_ms, case when e.t is null then 'NEVER_OBSERVED' when at_ms - e.t <= {HOUR} then 'AVAILABLE' else 'STALE' end as status
 from g asof left join e on g.venue = e.venue and g.at_ms >= e.t""")
