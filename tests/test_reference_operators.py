@@ -169,6 +169,55 @@ def test_book_reconstruction_follows_every_ladder(spark, tmp_path):
             assert (got.state, got.best_bid, got.best_ask, got.bid_levels, got.ask_levels) == ("VALID", max(bids, default=None), min(asks), len(set(bids)), len(set(asks)))
 
 
+VENUES = {"BINANCE|linear_perpetual|A|A": "BINANCE", "BINANCE|spot|A|A": "BINANCE_SPOT", "BYBIT|linear_perpetual|A|A": "BYBIT", "OKX|linear_perpetual|A|A": "OKX"}
+
+
+def _venue_frames():
+    """(key, frame of FRAME without its key, outcome due) by the rules of SURVEY A.1, A.3 and A.4."""
+    spot, bybit, okx = [k for k, v in VENUES.items() if v != "BINANCE"]
+    b, a = [["99.0", "1"]], [["101.0", "1"]]
+    return [
+        (spot, (1, False, 100, 98, None, b, a), "buffered"), (spot, (2, False, 102, 101, None, [["99.5", "1"]], []), "buffered"),
+        (spot, (3, True, 100, None, None, b, a), "bridged"),  # the diff ending at the snapshot's id adds nothing; 101 follows it
+        (spot, (4, False, 105, 103, None, [["99.6", "1"]], []), "applied"), (spot, (5, False, 105, 103, None, [], []), "sequence_gap"),
+        (spot, (6, True, 110, None, None, b, a), "snapshot_ahead_of_buffer"), (spot, (7, False, 112, 112, None, [], []), "snapshot_bridge_not_found"),
+        (bybit, (1, False, 5, None, None, b, a), "discarded"), (bybit, (2, True, 7, None, None, b, a), "snapshot_applied"),
+        (bybit, (3, False, 20, None, None, [["99.5", "1"]], []), "applied"), (bybit, (4, False, 20, None, None, [], []), "stale"),
+        (bybit, (5, False, 1, None, None, [], []), "resync"), (bybit, (6, False, 21, None, None, [], []), "discarded"), (bybit, (7, True, 1, None, None, b, a), "snapshot_applied"),
+        (bybit, (8, False, None, None, None, [], []), "update_id_missing"),
+        (okx, (1, False, 5, None, 4, b, a), "missing_snapshot"), (okx, (2, True, 7, None, -1, b, a), "snapshot_applied"), (okx, (3, False, 9, None, 7, [["99.5", "1"]], []), "applied"),
+        (okx, (4, False, 9, None, 9, [], []), "applied"), (okx, (5, False, 12, None, 11, [], []), "sequence_gap"), (okx, (6, False, 13, None, 9, [], []), "discarded"),
+        (okx, (7, True, 2, None, -1, b, a), "snapshot_applied"), (okx, (8, False, 3, None, 2, [["101.0", "1"]], []), "invalid_book"),
+    ]
+
+
+def test_book_fold_of_each_venue(spark, tmp_path):
+    due = {(k, f[0]): want for k, f, want in _venue_frames()}
+    frames = spark.createDataFrame([(k, *f) for k, f, _ in _venue_frames()], FRAME)
+    out = orderbook.reconstruct(frames.orderBy(F.rand(3))).collect()
+    assert {(r.instrument_key, r.seq): r.outcome for r in out} == due
+    best = {(r.instrument_key.split("|")[0], r.seq): (r.state, r.best_bid) for r in out}
+    assert best["BINANCE", 3] == ("VALID", 99.5) and best["BYBIT", 3] == ("VALID", 99.5) and best["BYBIT", 5] == ("RECOVERING", 99.5) and best["OKX", 7] == ("VALID", 99.0)
+    frames.coalesce(1).write.parquet(str(tmp_path / "frames"))
+    got = _run_stream(spark, streams.books(spark.readStream.schema(FRAME).parquet(str(tmp_path / "frames"))), str(tmp_path / "c"), name="venue_books").collect()
+    assert {(r.instrument_key, r.seq): r.outcome for r in got} == due
+
+
+def test_ladders_are_followed_by_the_rules_of_each_venue(spark):
+    rng, rows = random.Random(6), []
+    for i in range(240):
+        mid = 100.0 + rng.randrange(-20, 20)
+        bids, asks = [mid - 1, mid - 2], [mid + 1, mid + 3]
+        rows.append((i, list(VENUES)[i % 4], *((asks, [1.0, 1.0], bids) if i in range(100, 110) else (bids, [1.0, 2.0], asks)), [1.0, 3.0]))
+    ladders = spark.createDataFrame(rows, "seq long, instrument_key string, bids_price array<double>, bids_qty array<double>, asks_price array<double>, asks_qty array<double>")
+    frames = orderbook.frames_of_ladders(ladders)
+    assert [orderbook.venue_of(k) for k in VENUES] == list(VENUES.values())
+    last = {r.seq // 2: r for r in orderbook.reconstruct(frames).orderBy("seq").collect()}
+    for n, _, bids, _, asks, _ in rows:
+        got = (last[n].state, last[n].best_bid, last[n].best_ask, last[n].bid_levels)
+        assert got[0] == "SEQUENCE_GAP" if n in range(100, 110) else got == ("VALID", bids[0], asks[0], 2)
+
+
 def _run_stream(spark, df, path, mode="append", name="out"):
     q = df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", path).trigger(availableNow=True).start()
     q.awaitTermination(120)

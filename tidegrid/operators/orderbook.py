@@ -13,16 +13,36 @@ from tidegrid.session import add_package
 SCHEMA = "instrument_key string, seq long, update_id long, state string, outcome string, best_bid double, best_ask double, bid_levels int, ask_levels int, generation int"
 
 
+def venue_of(instrument_key: str) -> str:
+    """Whose rules a book follows, by the key's exchange and market (EXCHANGE|market|...): BYBIT, OKX, BINANCE_SPOT, else BINANCE (USD-M)."""
+    exchange, market = (instrument_key.strip().upper().split("|") + [""])[:2]
+    if exchange in ("BYBIT", "OKX"):
+        return exchange
+    return "BINANCE_SPOT" if exchange == "BINANCE_SPOT" or (exchange, market) == ("BINANCE", "SPOT") else "BINANCE"
+
+
 class BookFold:
     """State of one instrument's book.
 
-    A frame is a dict: seq, is_snapshot, update_id, first_id, prev_id, bids, asks (lists of (price, quantity) texts). Diffs
-    are buffered until a snapshot bridges them: the first kept diff must span the snapshot's id. A diff continues the
-    book if prev_id is the last applied id; one at or below that id is stale. Quantity 0 removes a level. Levels that
-    aren't valid, or that cross the book, leave it unchanged and open a gap. ``apply`` returns (outcome, state).
+    A frame is a dict: seq, is_snapshot, update_id, first_id, prev_id, bids, asks (lists of (price, quantity) texts).
+    Quantity 0 removes a level. Levels that aren't valid, or that cross the book, leave it unchanged and open a gap.
+    ``apply`` returns the outcome. The rest is the venue's:
+
+    * BINANCE (USD-M): diffs are buffered until a snapshot bridges them: the first kept diff must span the snapshot's id. A diff
+      continues the book if prev_id is the last applied id; one at or below that id is stale.
+    * BINANCE_SPOT: the first kept diff must span the snapshot's id + 1. A diff continues if first_id is the last applied id + 1,
+      else it opens a gap, repeats too.
+    * BYBIT: a snapshot replaces the book. A diff with a higher id continues, whatever it skips; an equal one is stale, a lower one
+      calls for a new snapshot (resync).
+    * OKX: a snapshot replaces the book. A diff continues if prev_id is the last applied id or -1.
+
+    Diffs of the last two are discarded, not buffered, while the book isn't trusted.
     """
 
-    def __init__(self, capacity: int = 10_000):
+    venue, anchored = "BINANCE", False  # also for states pickled before these were kept
+
+    def __init__(self, capacity: int = 10_000, venue: str = "BINANCE"):
+        self.venue = venue
         self.bids: dict = {}
         self.asks: dict = {}
         self.buffer: list = []
@@ -63,19 +83,21 @@ class BookFold:
         if base is None or book is None:
             self.state = "SEQUENCE_GAP"
             return "snapshot_invalid"
-        later = [f for f in self.buffer if f["update_id"] is not None and f["update_id"] >= base]
+        due = base + (self.venue == "BINANCE_SPOT")
+        later = [f for f in self.buffer if f["update_id"] is not None and f["update_id"] >= due]
         if not later:
             self.pending, self.state = snapshot, "RECOVERING"
             return "snapshot_ahead_of_buffer"
         head = later[0]
-        if head["first_id"] is None or not head["first_id"] <= base <= head["update_id"]:
+        if head["first_id"] is None or not head["first_id"] <= due <= head["update_id"]:
             self.pending = None
             return "snapshot_bridge_not_found"
         last = None
         for f in later:
-            if last is not None and f["update_id"] <= last:
+            why = self._order(f, last) if last is not None else None
+            if why == "stale":
                 continue
-            if last is not None and f["prev_id"] != last or (book := self._next(*book, f)) is None:
+            if why or (book := self._next(*book, f)) is None:
                 self.buffer, self.state, self.pending = later, "SEQUENCE_GAP", None
                 return "bridge_broken"
             last = f["update_id"]
@@ -84,29 +106,55 @@ class BookFold:
         self.generation += 1
         return "bridged"
 
+    def _order(self, frame, last) -> str | None:
+        """Why a diff doesn't continue a book whose last applied id is ``last``; None if it does."""
+        u, first, prev = frame["update_id"], frame["first_id"], frame["prev_id"]
+        if self.venue == "OKX":
+            return None if prev == -1 else "missing_snapshot" if last is None else "sequence_gap" if prev != last else None
+        if u is None or last is None or self.venue == "BINANCE_SPOT" and first is None:
+            return "update_id_missing"
+        if self.venue == "BINANCE_SPOT":
+            return None if first == last + 1 else "sequence_gap"
+        if self.venue == "BYBIT":
+            return "resync" if u < last else "stale" if u == last else None
+        return "stale" if u <= last else "sequence_gap" if prev != last else None
+
+    def _replace(self, snapshot) -> str:
+        book = self._next({}, {}, snapshot)
+        if book is None:
+            self.state = "SEQUENCE_GAP"
+            return "snapshot_invalid"
+        self.bids, self.asks = book
+        self.last, self.state, self.anchored = snapshot["update_id"], "VALID", True
+        return "snapshot_applied"
+
     def apply(self, frame) -> str:
+        wire = self.venue in ("BYBIT", "OKX")
         if frame["is_snapshot"]:
-            return self._bridge(frame)
-        if self.state != "VALID":
+            return self._replace(frame) if wire else self._bridge(frame)
+        if wire:
+            # an OKX book that never had a frame is told so by its comparator
+            if self.state != "VALID" and (self.anchored or self.venue == "BYBIT"):
+                return "discarded"
+        elif self.state != "VALID":
             outcome = self._keep(frame)
             return self._bridge(self.pending) if self.pending and outcome == "buffered" else outcome
-        if frame["update_id"] is None:
-            self.state = "SEQUENCE_GAP"
-            return self._gap(frame, "update_id_missing")
-        if frame["update_id"] <= self.last:
-            return "stale"
-        if frame["prev_id"] != self.last:
-            return self._gap(frame, "sequence_gap")
+        why = self._order(frame, self.last)
+        if why == "stale":
+            return why
+        if why:
+            return self._gap(frame, why)
         book = self._next(self.bids, self.asks, frame)
         if book is None:
             return self._gap(frame, "invalid_book")
         self.bids, self.asks = book
-        self.last = frame["update_id"]
+        self.last, self.anchored = frame["update_id"], True
         return "applied"
 
     def _gap(self, frame, why: str) -> str:
-        self.state = "SEQUENCE_GAP"
-        self._keep(frame)
+        self.state = "RECOVERING" if why == "resync" else "SEQUENCE_GAP"
+        if self.venue not in ("BYBIT", "OKX"):
+            self._keep(frame)
         return why
 
     def row(self, frame, outcome: str) -> tuple:
@@ -135,8 +183,8 @@ def frames_of_ladders(ladders: DataFrame) -> DataFrame:
 
     ladders: instrument_key, seq, bids_price, bids_qty, asks_price, asks_qty (arrays of double, not null). A row's diff holds the levels that
     changed and quantity 0 for those that went; seq is its update_id. A ladder the fold must refuse (levels that aren't valid, crossed sides)
-    is sent whole, so it opens a gap; the first ladder and one after a refused one are sent whole with a snapshot behind them. Diffs get
-    twice their seq, snapshots one more.
+    is sent whole, so it opens a gap; the first ladder and one after a refused one are sent whole with a snapshot behind them, or, where
+    snapshots come on the wire (Bybit, OKX), as that snapshot alone. Diffs get twice their seq, snapshots one more.
     """
     rows = ladders.select(
         "instrument_key", "seq", _last_of_each_price(F.col("bids_price"), F.col("bids_qty")).alias("b"), _last_of_each_price(F.col("asks_price"), F.col("asks_qty")).alias("a")
@@ -158,13 +206,15 @@ def frames_of_ladders(ladders: DataFrame) -> DataFrame:
         return F.when(F.col("start") | F.col("bad"), whole(side)).otherwise(F.concat(new, gone))
 
     none = F.lit(None).cast("long")
-    diffs = rows.select(
+    part = lambda n: F.upper(F.trim(F.coalesce(F.get(F.split("instrument_key", r"\|"), F.lit(n)), F.lit(""))))
+    wire, spot = part(0).isin("BYBIT", "OKX"), (part(0) == "BINANCE_SPOT") | ((part(0) == "BINANCE") & (part(1) == "SPOT"))
+    diffs = rows.where(~(F.col("start") & wire)).select(
         "instrument_key", (F.col("seq") * 2).alias("seq"), F.lit(False).alias("is_snapshot"), F.col("seq").alias("update_id"),
         F.when(F.col("start"), F.col("seq")).otherwise(F.col("seq0") + 1).alias("first_id"), F.col("seq0").alias("prev_id"), change("b").alias("bids"), change("a").alias("asks"),
     )
     snaps = rows.where("start").select(
-        "instrument_key", (F.col("seq") * 2 + 1).alias("seq"), F.lit(True).alias("is_snapshot"), F.col("seq").alias("update_id"), none.alias("first_id"), none.alias("prev_id"),
-        whole("b").alias("bids"), whole("a").alias("asks"),
+        "instrument_key", (F.col("seq") * 2 + 1).alias("seq"), F.lit(True).alias("is_snapshot"), F.when(spot, F.col("seq") - 1).otherwise(F.col("seq")).alias("update_id"), none.alias("first_id"),
+        F.when(part(0) == "OKX", F.lit(-1).cast("long")).alias("prev_id"), whole("b").alias("bids"), whole("a").alias("asks"),
     )
     return diffs.unionByName(snaps)
 
@@ -173,8 +223,8 @@ def reconstruct(frames: DataFrame, *, capacity: int = 10_000) -> DataFrame:
     """The book after every frame of each instrument (columns: see SCHEMA).
 
     frames: instrument_key, seq (arrival order), is_snapshot, update_id, first_id, prev_id bigint, bids, asks
-    array<array<string>>. The state of a book depends on all frames before, so an instrument is one sequence; sequences
-    of different instruments run in parallel. Batches of rows stream through the fold, none is held as a whole.
+    array<array<string>>. The key's exchange and market choose the venue's rules (``venue_of``). The state of a book depends on
+    all frames before, so an instrument is one sequence; sequences of different instruments run in parallel. Batches of rows stream through the fold, none is held as a whole.
     """
     add_package(frames.sparkSession)
     columns = ["instrument_key", "seq", "is_snapshot", "update_id", "first_id", "prev_id", "bids", "asks"]
@@ -187,7 +237,7 @@ def reconstruct(frames: DataFrame, *, capacity: int = 10_000) -> DataFrame:
             out = []
             for name, part in pdf.groupby("instrument_key", sort=False):
                 if name != key:
-                    key, book = name, BookFold(capacity)
+                    key, book = name, BookFold(capacity, venue_of(name))
                 for frame in frames_of(part):
                     out.append((name, *book.row(frame, book.apply(frame))))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"update_id": "Int64"})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.operators.orderbook import SCHEMA, BookFold, frames_of
+from tidegrid.operators.orderbook import SCHEMA, BookFold, frames_of, venue_of
 from tidegrid.session import add_package
 
 
@@ -70,7 +70,7 @@ def books(stream: DataFrame) -> DataFrame:
 
         import pandas as pd
 
-        book = pickle.loads(state.get[0]) if state.exists else BookFold()
+        book = pickle.loads(state.get[0]) if state.exists else BookFold(venue=venue_of(key[0]))
         rows = pd.concat(list(batches))
         out = [(key[0], *book.row(frame, book.apply(frame))) for frame in frames_of(rows)]
         state.update((pickle.dumps(book),))
