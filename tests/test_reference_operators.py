@@ -251,6 +251,33 @@ def test_normalisers(spark):
     assert {r.reason: r.frames for r in normalize.rejects(df).collect()} == {"undecodable": 2, "unsupported": 1}
 
 
+def test_normalisers_of_every_channel(spark):
+    okx = lambda channel, *data: '{"arg":{"channel":"%s","instId":"B"},"data":[%s]}' % (channel, ",".join(data))
+    payloads = [
+        '{"topic":"orderbook.50.B","type":"snapshot","ts":10,"data":{"s":"B","b":[["1.5","2"]],"a":[["3","4"]],"u":7,"seq":1}}',
+        '{"topic":"orderbook.50.B","type":"delta","ts":11,"data":{"s":"B","b":[["1.5","0"]],"a":[],"u":9,"seq":2}}',
+        okx("books", '{"bids":[["1","2","0","1"]],"asks":[],"ts":"12","seqId":5,"prevSeqId":-1}', '{"bids":[],"asks":[["3","1","0","1"]],"ts":"13","seqId":6,"prevSeqId":5}'),
+        '{"stream":"b@markPrice@1s","data":{"e":"markPriceUpdate","E":14,"s":"B","p":"100.5","i":"100.4","r":"0.0001","T":99}}',
+        okx("mark-price", '{"markPx":"101","ts":"15"}'), okx("index-tickers", '{"idxPx":"102","ts":"16"}'),
+        okx("funding-rate", '{"fundingRate":"0.0002","nextFundingRate":"","fundingTime":"50","nextFundingTime":"60","ts":"17"}'),
+        '{"topic":"tickers.B","type":"delta","ts":18,"data":{"markPrice":"103","openInterest":"7"}}', '{"topic":"tickers.B","type":"delta","ts":19,"data":{"bid1Price":"1"}}',
+        okx("open-interest", '{"oi":"8","oiCcy":"0.8","oiUsd":"9","ts":"20"}'),
+        '{"e":"forceOrder","E":21,"o":{"s":"B","S":"SELL","p":"90","q":"1","T":20}}', '{"topic":"allLiquidation.B","ts":23,"data":[{"T":22,"s":"B","S":"Buy","v":"2","p":"91"},{"s":"B","S":"Sell","v":"3","p":"92"}]}',
+        okx("liquidation-orders", '{"instId":"B","details":[{"side":"sell","bkPx":"93","sz":"4","ts":"24"},{"side":"buy","bkPx":"94","sz":"5","ts":"25"}]}'),
+        okx("books5", '{"bids":[]}'), okx("candle1m", "[]"), "pong",
+    ]
+    df = spark.createDataFrame(list(enumerate(payloads)), "frame_id long, payload string")
+    num = lambda x: None if x is None else float(x)
+    got = sorted((r.frame_id, r.is_snapshot, r.update_id, r.prev_id, r.bids, r.asks, r.exchange_ms) for r in normalize.depth(df).collect())
+    assert got == [(0, True, 7, None, [["1.5", "2"]], [["3", "4"]], 10), (1, False, 9, None, [["1.5", "0"]], [], 11), (2, False, 6, 5, [], [["3", "1"]], 13), (2, True, 5, -1, [["1", "2"]], [], 12)]
+    got = sorted((r.frame_id, num(r.mark_price), num(r.index_price), num(r.funding_rate), r.next_funding_ms, r.funding_ms, num(r.next_funding_rate), r.exchange_ms) for r in normalize.marks(df).collect())
+    assert got == [(3, 100.5, 100.4, 0.0001, 99, None, None, 14), (4, 101.0, None, None, None, None, None, 15), (5, None, 102.0, None, None, None, None, 16), (6, None, None, 0.0002, 60, 50, None, 17), (7, 103.0, None, None, None, None, None, 18)]
+    assert sorted((r.frame_id, num(r.open_interest), r.unit, num(r.in_currency), r.exchange_ms) for r in normalize.open_interest(df).collect()) == [(7, 7.0, "UNKNOWN", None, 18), (9, 8.0, "CONTRACTS", 0.8, 20)]
+    got = sorted((r.frame_id, r.pos, r.part, r.side, num(r.price), num(r.quantity), r.exchange_ms) for r in normalize.liquidations(df).collect())
+    assert got == [(10, 0, 0, "SELL", 90.0, 1.0, 20), (11, 0, 0, "BUY", 91.0, 2.0, 22), (11, 1, 0, "SELL", 92.0, 3.0, 23), (12, 0, 0, "SELL", 93.0, 4.0, 24), (12, 0, 1, "BUY", 94.0, 5.0, 25)]
+    assert {r.reason: r.frames for r in normalize.rejects(df).collect()} == {"book": 1, "unsupported": 1, "undecodable": 1}
+
+
 def test_segments_on_storage(spark, tmp_path):
     root = tmp_path / "raw" / "trades"
     root.mkdir(parents=True)

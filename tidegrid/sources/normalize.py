@@ -60,19 +60,129 @@ def trades(frames: DataFrame) -> DataFrame:
     )
 
 
-def depth(frames: DataFrame) -> DataFrame:
-    """Frames for the book fold: frame_id, is_snapshot, update_id, first_id, prev_id, bids, asks, exchange_ms."""
+def _channel() -> Column:
+    """Lower-case topic, stream or channel a payload names, '' without one."""
+    return F.lower(F.coalesce(_get("$.stream"), _get("$.topic"), _get("$.arg.channel"), F.lit("")))
+
+
+def _taken() -> Column:
+    """Which normaliser takes a payload: trades, depth, marks, open_interest or liquidations; Bybit's tickers feed two, so they
+    give ``tickers``. Null: none. Follows ``route``, which doesn't name the channels of tickers, funding and open interest."""
+    kind, name = F.col("kind"), _channel()
+    bybit, okx = _get("$.topic").isNotNull(), _get("$.arg.channel").isNotNull()
+    return (
+        F.when(kind.isin("trade", "trades"), "trades")
+        .when(kind.isin("depth", "snapshot") | (kind == "book") & (bybit & name.startswith("orderbook.") | okx & (name == "books")), "depth")
+        .when((kind == "mark") | okx & name.isin("mark-price", "index-tickers", "funding-rate"), "marks")
+        .when((kind == "liquidation") | bybit & name.startswith("allliquidation.") | okx & (name == "liquidation-orders"), "liquidations")
+        .when(bybit & name.startswith("tickers."), "tickers")
+        .when(okx & (name == "open-interest"), "open_interest")
+    )
+
+
+def _frames_for(frames: DataFrame, *takers: str) -> DataFrame:
+    """frame_id, payload, kind, by (the normaliser), name (the channel)."""
     kinds = frames.select("frame_id", "payload").withColumn("kind", route())
-    rows = kinds.where("kind in ('depth', 'snapshot')").withColumn("payload", F.coalesce(_get("$.data"), F.col("payload")))
+    return kinds.where(kinds.kind != "undecodable").withColumn("by", _taken()).where(F.col("by").isin(*takers)).withColumn("name", _channel())
+
+
+def _each(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row for each entry of a payload's list ``data`` (pos, payload = the entry)."""
+    return rows.select("frame_id", *keep, F.posexplode(F.from_json(_get("$.data"), "array<string>")).alias("pos", "payload"))
+
+
+def depth(frames: DataFrame) -> DataFrame:
+    """Frames for the book fold: frame_id, is_snapshot, update_id, first_id, prev_id, bids, asks, exchange_ms.
+
+    Binance's depthUpdate and REST snapshots, Bybit's orderbook (snapshot, delta) and OKX's books (one row an entry; prevSeqId -1 is
+    a snapshot). Levels are price and quantity.
+    """
+    rows = _frames_for(frames, "depth").where("kind <> 'book'").withColumn("payload", F.coalesce(_get("$.data"), F.col("payload")))
     snap = F.col("kind") == "snapshot"
     long = lambda p: _get(p).try_cast("long")
-    return rows.select(
+    levels = lambda p, q: F.from_json(F.coalesce(_get(p), _get(q)), LEVELS)
+    binance = rows.select(
         "frame_id", snap.alias("is_snapshot"), F.when(snap, long("$.lastUpdateId")).otherwise(long("$.u")).alias("update_id"), long("$.U").alias("first_id"),
-        long("$.pu").alias("prev_id"), F.from_json(F.coalesce(_get("$.bids"), _get("$.b")), LEVELS).alias("bids"),
-        F.from_json(F.coalesce(_get("$.asks"), _get("$.a")), LEVELS).alias("asks"), long("$.E").alias("exchange_ms"),
+        long("$.pu").alias("prev_id"), levels("$.bids", "$.b").alias("bids"), levels("$.asks", "$.a").alias("asks"), long("$.E").alias("exchange_ms"),
+    )
+    books = _frames_for(frames, "depth").where("kind = 'book'")
+    none = F.lit(None).cast("long")
+    bybit = books.where("name <> 'books'").select(
+        "frame_id", (F.coalesce(_get("$.type"), F.lit("")) == "snapshot").alias("is_snapshot"), long("$.data.u").alias("update_id"), none.alias("first_id"), none.alias("prev_id"),
+        levels("$.data.b", "$.data.bids").alias("bids"), levels("$.data.a", "$.data.asks").alias("asks"), long("$.ts").alias("exchange_ms"),
+    )
+    two = lambda c: F.transform(c, lambda x: F.slice(x, 1, 2))  # noqa: E731 - OKX adds two fields to a level
+    okx = _each(books.where("name = 'books'")).select(
+        "frame_id", F.coalesce(long("$.prevSeqId") == -1, F.lit(False)).alias("is_snapshot"), long("$.seqId").alias("update_id"), none.alias("first_id"),
+        long("$.prevSeqId").alias("prev_id"), two(levels("$.bids", "$.b")).alias("bids"), two(levels("$.asks", "$.a")).alias("asks"), long("$.ts").alias("exchange_ms"),
     )
+    return binance.unionByName(bybit).unionByName(okx)
+
+
+def marks(frames: DataFrame) -> DataFrame:
+    """(frame_id, pos, mark_price, index_price, funding_rate, next_funding_ms, funding_ms, next_funding_rate, exchange_ms) of
+    Binance's markPriceUpdate, Bybit's tickers and OKX's mark-price, index-tickers and funding-rate.
+
+    A field the payload doesn't carry is null: values of earlier Bybit tickers are not carried forward, and a ticker without any
+    of these fields gives no row.
+    """
+    rows = _frames_for(frames, "marks", "tickers")
+    one = rows.where("kind = 'mark'").select("frame_id", F.lit(0).alias("pos"), F.lit("mark").alias("name"), F.coalesce(_get("$.data"), F.col("payload")).alias("payload"))
+    ticker = rows.where("by = 'tickers'").select("frame_id", F.lit(0).alias("pos"), F.lit("tickers").alias("name"), _get("$.ts").alias("at"), _get("$.data").alias("payload"))
+    okx = _each(rows.where("kind <> 'mark' and by = 'marks'"), "name")
+    every = one.unionByName(okx).withColumn("at", F.lit(None).cast("string")).unionByName(ticker)
+    at = lambda **paths: F.coalesce(*[F.when(F.col("name") == k.replace("_", "-"), _get(f"$.{v}")) for k, v in paths.items()])
+    long = lambda c: c.try_cast("long")
+    out = every.select(
+        "frame_id", "pos", dec(at(mark="p", tickers="markPrice", mark_price="markPx")).alias("mark_price"), dec(at(mark="i", tickers="indexPrice", index_tickers="idxPx")).alias("index_price"),
+        dec(at(mark="r", tickers="fundingRate", funding_rate="fundingRate")).alias("funding_rate"),
+        long(at(mark="T", tickers="nextFundingTime", funding_rate="nextFundingTime")).alias("next_funding_ms"), long(at(funding_rate="fundingTime")).alias("funding_ms"),
+        dec(at(funding_rate="nextFundingRate")).alias("next_funding_rate"), long(F.coalesce("at", at(mark="E", mark_price="ts", index_tickers="ts", funding_rate="ts"))).alias("exchange_ms"),
+        F.col("name"),
+    )
+    surfaced = F.coalesce("mark_price", "index_price", "funding_rate", "next_funding_ms").isNotNull()
+    return out.where((F.col("name") != "tickers") | surfaced).drop("name")
+
+
+def open_interest(frames: DataFrame) -> DataFrame:
+    """(frame_id, pos, open_interest, unit, in_currency, in_usd, exchange_ms) of Bybit's tickers that carry it (unit UNKNOWN) and
+    OKX's open-interest (unit CONTRACTS)."""
+    rows = _frames_for(frames, "open_interest", "tickers")
+    none = F.lit(None).cast("string")
+    bybit = rows.where("by = 'tickers'").select(
+        "frame_id", F.lit(0).alias("pos"), _get("$.data.openInterest").alias("v"), F.lit("UNKNOWN").alias("unit"), none.alias("c"), none.alias("u"), _get("$.ts").alias("ts")
+    )
+    okx = _each(rows.where("by = 'open_interest'")).select(
+        "frame_id", "pos", _get("$.oi").alias("v"), F.lit("CONTRACTS").alias("unit"), _get("$.oiCcy").alias("c"), _get("$.oiUsd").alias("u"), _get("$.ts").alias("ts")
+    )
+    both = bybit.where("v is not null").unionByName(okx)
+    return both.select(
+        "frame_id", "pos", dec(F.col("v")).alias("open_interest"), "unit", dec(F.col("c")).alias("in_currency"), dec(F.col("u")).alias("in_usd"), F.col("ts").try_cast("long").alias("exchange_ms")
+    )
+
+
+def liquidations(frames: DataFrame) -> DataFrame:
+    """(frame_id, pos, part, native, side, price, quantity, exchange_ms) of Binance's forceOrder, Bybit's allLiquidation (one row an
+    entry) and OKX's liquidation-orders (one row a detail, part from 0; of all instruments of the push)."""
+    rows = _frames_for(frames, "liquidations")
+    zero = F.lit(0).alias("part")
+    force = rows.where("kind = 'liquidation'").withColumn("payload", F.coalesce(_get("$.data"), F.col("payload"))).select(
+        "frame_id", F.lit(0).alias("pos"), zero, _get("$.o.s").alias("native"), _get("$.o.S").alias("side"), _get("$.o.p").alias("p"), _get("$.o.q").alias("q"),
+        F.coalesce(_get("$.o.T"), _get("$.E")).alias("ts"),
+    )
+    bybit = _each(rows.where("kind <> 'liquidation' and name <> 'liquidation-orders'").withColumn("sent", _get("$.ts")), "sent").select(
+        "frame_id", "pos", zero, _get("$.s").alias("native"), _get("$.S").alias("side"), _get("$.p").alias("p"), _get("$.v").alias("q"), F.coalesce(_get("$.T"), F.col("sent")).alias("ts")
+    )
+    okx = _each(rows.where("name = 'liquidation-orders'")).select(
+        "frame_id", "pos", _get("$.instId").alias("native"), F.posexplode(F.from_json(_get("$.details"), "array<string>")).alias("part", "payload")
+    ).select("frame_id", "pos", "part", "native", _get("$.side").alias("side"), _get("$.bkPx").alias("p"), _get("$.sz").alias("q"), _get("$.ts").alias("ts"))
+    every = force.unionByName(bybit).unionByName(okx)
+    return every.select(
+        "frame_id", "pos", "part", "native", F.upper("side").alias("side"), dec(F.col("p")).alias("price"), dec(F.col("q")).alias("quantity"), F.col("ts").try_cast("long").alias("exchange_ms")
+    )
 
 
 def rejects(frames: DataFrame) -> DataFrame:
-    """(reason, frames) of payloads no normaliser takes."""
-    return frames.select(route().alias("reason")).where("reason in ('undecodable', 'unsupported')").groupBy("reason").agg(F.count(F.lit(1)).alias("frames"))
+    """(reason, frames) of payloads no normaliser takes: undecodable, else the kind ``route`` gives them."""
+    kinds = frames.select("payload").withColumn("kind", route()).withColumn("by", _taken())
+    return kinds.where("kind = 'undecodable' or by is null").groupBy(F.col("kind").alias("reason")).agg(F.count(F.lit(1)).alias("frames"))
