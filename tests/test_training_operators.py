@@ -132,6 +132,16 @@ def test_consolidation_keeps_every_record_once(spark, tmp_path):
     assert out.count() == 0 and dropped.count() == 0
 
 
+def test_consolidation_keeps_records_without_key_of_contained_entries(spark, tmp_path):
+    listing = [(1, "a", "1.seg"), (2, "a", "2.seg"), (3, "a", "3.seg.tmp")]
+    records = [(1, 0, 1), (1, 1, None), (1, 2, None), (2, 0, 1), (2, 1, 2), (2, 2, None), (3, 0, None)]
+    l = spark.createDataFrame(listing, "file_id long, stream string, path string")
+    r = spark.createDataFrame([(f, i, k, ts(1000 * i), 1.0, float(f)) for f, i, k in records], "file_id long, row_no int, record_key long, record_ts timestamp, price double, quantity double")
+    out, dropped = consolidation.consolidate(l, r, f"file://{tmp_path}/out")
+    assert rows(out, "record_key", "quantity")[2:] == [(None, 1.0), (None, 1.0), (None, 2.0)] and sorted(x.record_key for x in out.where("record_key is not null").collect()) == [1, 2]
+    assert {x.file_id: x.reason for x in dropped.collect()} == {3: "unfinished", 1: "contained"}
+
+
 # Problem 4
 
 

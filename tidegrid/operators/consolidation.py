@@ -75,15 +75,16 @@ def _contained(pairs: DataFrame, keys: DataFrame) -> DataFrame:
     return met.where("met = n").select("file_id").distinct()
 
 
-def distinct_records(records: DataFrame, entries: DataFrame) -> DataFrame:
+def distinct_records(records: DataFrame, entries: DataFrame, *, unkeyed: DataFrame | None = None) -> DataFrame:
     """One row of each (stream, record_key) in the entries (file_id, stream): that of the lowest file_id, then row_no; rows
-    without a key are all kept."""
-    rows = records.join(entries.select("file_id", F.coalesce("stream", F.lit("")).alias("stream")), "file_id")
+    without a key are all kept, those of the entries ``unkeyed`` if given."""
+    of = lambda e: records.join(e.select("file_id", F.coalesce("stream", F.lit("")).alias("stream")), "file_id")
+    rows = of(entries)
     value = ["record_ts", "price", "quantity"]
     first = F.min_by(F.struct(*value), F.struct("file_id", F.coalesce("row_no", F.lit(-1)), *[F.col(c) for c in value]))
     once = rows.where("record_key is not null").groupBy("stream", "record_key").agg(first.alias("r"))
     once = once.select("stream", "record_key", *[F.col(f"r.{c}").alias(c) for c in value])
-    return once.unionByName(rows.where("record_key is null").select("stream", "record_key", *value))
+    return once.unionByName((rows if unkeyed is None else of(unkeyed)).where("record_key is null").select("stream", "record_key", *value))
 
 
 def _tally(df: DataFrame) -> dict:
@@ -111,7 +112,8 @@ def consolidate(listing: DataFrame, records: DataFrame, out_dir: str, *, target_
     files = max(1, -(-total * bytes_per_record // target_bytes))
     staging = out_dir.rstrip("/") + "-staging"
     order = ["stream", "record_ts", "record_key"]
-    out = distinct_records(records, kept).repartitionByRange(files, *order).sortWithinPartitions(*order)
+    # nothing else holds a record without a key, so those of contained entries are written too
+    out = distinct_records(records, kept, unkeyed=everything).repartitionByRange(files, *order).sortWithinPartitions(*order)
     out.write.mode("overwrite").parquet(staging)
     written = spark.read.schema(out.schema).parquet(staging)
     keyed = _tally(written.where("record_key is not null"))
