@@ -121,6 +121,20 @@ def test_first_wins_and_digest_ignore_order(spark):
     assert dig(a) == dig(b)
 
 
+def test_order_is_carried_over_days_and_hours(spark, tmp_path):
+    from tidegrid.plans import reference
+
+    at = lambda s: dt.datetime(2024, 1, 1, 23, 59, 50) + dt.timedelta(seconds=s)
+    marks = [(1, "k", at(0), at(8)), (2, "k", at(5), at(9)), (3, "k", at(4), at(11)), (4, "k", at(4), at(12))]  # reading 3 steps back over midnight
+    spark.createDataFrame(marks, "reading_id long, instrument_key string, exchange_timestamp timestamp, local_timestamp timestamp").write.parquet(str(tmp_path / "markprice.parquet"))
+    got = reference.QUERIES["out_of_order_counts_whole"](spark, str(tmp_path)).first()
+    assert (got.n, got.out_of_order, got.repeated) == (4, 1, 1)
+    items = [(i, 3_600_000 * h + ms, None, control) for i, (h, ms, control) in enumerate([(2, 5, False), (0, 7, True), (0, 7, False), (1, 0, False), (2, 4, True)])]
+    spark.createDataFrame(items, "item_id long, local_receive_ts long, receive_ns long, is_control boolean").write.parquet(str(tmp_path / "ingest_items.parquet"))
+    got = {r.source_index: r.place for r in reference.QUERIES["replay_total_order_whole"](spark, str(tmp_path)).collect()}
+    assert got == {2: 1, 1: 2, 3: 3, 4: 4, 0: 5}
+
+
 def _frames():
     f = lambda s, snap, u, first, prev, b, a: ("X", s, snap, u, first, prev, b, a)
     return [

@@ -9,6 +9,7 @@ from tidegrid.functions import book as B
 from tidegrid.functions import exact
 from tidegrid.functions.clock import ceil_grid, coerce_ms, epoch_ms, purge_days
 from tidegrid.operators import asof, bars, coverage, evidence, orderbook, replay, research
+from tidegrid.operators.neighbours import with_adjacent
 from tidegrid.session import read_table
 from tidegrid.sources import normalize, segments
 
@@ -187,6 +188,18 @@ def out_of_order_counts(spark, d):
     )
 
 
+@case("""with o as (select instrument_key, reading_id, epoch_ms(exchange_timestamp) t, epoch_ms(local_timestamp) // 86400000 c from markprice where instrument_key is not null and local_timestamp is not null),
+l as (select *, lag(t) over (partition by instrument_key order by c, reading_id) p from o where t is not null)
+select instrument_key, count(*) as n, count(*) filter (where t < p) as out_of_order, count(*) filter (where t = p) as repeated from l group by 1""")
+def out_of_order_counts_whole(spark, d):
+    """``out_of_order_counts`` with the last reading of a day carried to the next."""
+    m = read_table(spark, d, "markprice").where("instrument_key is not null and local_timestamp is not null")
+    rows = m.select("instrument_key", "reading_id", epoch_ms(F.col("exchange_timestamp")).alias("t"), F.floor(epoch_ms(F.col("local_timestamp")) / DAY).alias("c")).where("t is not null")
+    return with_adjacent(rows, ["instrument_key"], "c", ["reading_id"], "t", prev="p").groupBy("instrument_key").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("t") < F.col("p")).alias("out_of_order"), F.count_if(F.col("t") == F.col("p")).alias("repeated")
+    )
+
+
 # Labels, splits, statistics, checks
 
 GRID = f"""g as (select unnest(range({T0}, {T0 + 30 * DAY}, 60000)) ts),
@@ -635,6 +648,21 @@ def replay_total_order(spark, d):
     return log.select("source_index", F.row_number().over(w).alias("place"))
 
 
+@case("""with w as (select local_receive_ts ts_ms, case when is_control then 1 else 0 end kind_rank, coalesce(receive_ns, -1) ns, item_id source_index from ingest_items
+ where local_receive_ts is not null and is_control is not null)
+select source_index, row_number() over (order by ts_ms, kind_rank, ns, source_index) as place from w""")
+def replay_total_order_whole(spark, d):
+    """``replay_total_order`` over the whole log: places within an hour, raised by the rows of the hours before."""
+    i = read_table(spark, d, "ingest_items").where("local_receive_ts is not null").select(
+        F.col("local_receive_ts").alias("ts_ms"), F.col("receive_ns").alias("ns"), F.col("item_id").alias("source_index"), "is_control"
+    )
+    log = replay.merged_log(i.where("not is_control"), i.where("is_control")).withColumn("c", F.floor(F.col("ts_ms") / HOUR))
+    before = F.sum("n").over(Window.orderBy("c").rowsBetween(Window.unboundedPreceding, -1))  # over one row an hour
+    earlier = log.groupBy("c").agg(F.count(F.lit(1)).alias("n")).select("c", F.coalesce(before, F.lit(0)).alias("earlier"))
+    place = F.row_number().over(Window.partitionBy("c").orderBy(*replay.ORDER))
+    return log.withColumn("place", place).join(earlier, "c").select("source_index", (F.col("place") + F.col("earlier")).alias("place"))
+
+
 @case("""with w as (select epoch_ms(local_timestamp) // 1000 s, count(*) n from orderbook where local_timestamp is not null group by 1), r as (select epoch_ms(local_timestamp) // 1000 s, count(*) n from markprice where local_timestamp is not null group by 1)
 select w.s as ts_ms, w.n as wire_frames, r.n as rest_frames from w join r on w.s = r.s""")
 def order_ties(spark, d):
