@@ -78,6 +78,17 @@ def test_alignment_expects_every_customer(spark, tmp_path):
     assert got == {7: (1, "AVAILABLE"), 500: (2, "STALE"), 900: (None, "NEVER_OBSERVED"), 15_000: (None, "NEVER_OBSERVED")}
 
 
+def test_coverage_spans_every_day(spark, tmp_path):
+    from tidegrid.plans import reference
+
+    data = [(1, 4, dt.datetime(2024, 1, 1), "view", 1.0), (2, 4, dt.datetime(2024, 1, 20), "view", 1.0)]
+    spark.createDataFrame(data, "event_id long, user_id long, ts timestamp, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    gaps = reference.QUERIES["coverage_gaps_whole"](spark, str(tmp_path)).collect()
+    assert sorted((g.kind, g.duration_ms) for g in gaps) == [("INTERIOR", 19 * reference.DAY - 1_800_000), ("TRAILING", 11 * reference.DAY - 1_800_000)]
+    r = reference.QUERIES["coverage_report_whole"](spark, str(tmp_path)).first()
+    assert (r.covered_ms, r.gap_count, r.observation_count) == (3_600_000, 2, 2)
+
+
 def test_labels_purge_and_split(spark):
     g = spark.createDataFrame([(i * 100, 100.0 + i) for i in range(40)], "ts long, mid double")
     out = research.forward_labels(g, time="ts", price="mid", grid_ms=100, horizons_s=(1, 2)).collect()

@@ -146,16 +146,20 @@ def fisher_transform(spark, d):
 # Coverage
 
 WINDOWS = "w as (select distinct user_id % 4 as venue from events)"
-COVER = f"""{EV}, {WINDOWS}, o as (select distinct venue, t from e where t > {DAY1} - 1800000 and t < {DAY1 + DAY}),
+def _cover(start: int, length: int) -> str:
+    return f"""{EV}, {WINDOWS}, o as (select distinct venue, t from e where t > {start} - 1800000 and t < {start + length}),
 s as (select venue, t, lead(t) over (partition by venue order by t) nx, lag(t) over (partition by venue order by t) pv from o),
-gap as (select venue, t + 1800000 start_ms, coalesce(nx, {DAY1 + DAY}) end_ms, case when nx is null then 'TRAILING' else 'INTERIOR' end kind
-  from s where t + 1800000 < coalesce(nx, {DAY1 + DAY})
- union all select venue, {DAY1}, t, 'LEADING' from s where pv is null and t > {DAY1}
- union all select venue, {DAY1}, {DAY1 + DAY}, 'ABSENT' from w where venue not in (select venue from o))"""
+gap as (select venue, t + 1800000 start_ms, coalesce(nx, {start + length}) end_ms, case when nx is null then 'TRAILING' else 'INTERIOR' end kind
+  from s where t + 1800000 < coalesce(nx, {start + length})
+ union all select venue, {start}, t, 'LEADING' from s where pv is null and t > {start}
+ union all select venue, {start}, {start + length}, 'ABSENT' from w where venue not in (select venue from o))"""
 
 
-def _windows(e):
-    return e.select("venue").distinct().select("venue", F.lit(DAY1).cast("long").alias("window_start_ms"), F.lit(DAY1 + DAY).cast("long").alias("window_end_ms"))
+COVER = _cover(DAY1, DAY)
+
+
+def _windows(e, start=DAY1, length=DAY):
+    return e.select("venue").distinct().select("venue", F.lit(start).cast("long").alias("window_start_ms"), F.lit(start + length).cast("long").alias("window_end_ms"))
 
 
 @case(f"with {COVER} select venue, start_ms, end_ms, end_ms - start_ms as duration_ms, kind from gap")
@@ -164,18 +168,36 @@ def coverage_gaps(spark, d):
     return coverage.coverage_gaps(e, _windows(e), key="venue", time_ms=F.col("t"), tolerance_ms=1_800_000)
 
 
-@case(f"""with {COVER}, l as (select venue, sum(end_ms - start_ms) m, count(*) n, max(end_ms - start_ms) x, sum(case kind when 'LEADING' then end_ms - start_ms else 0 end) a,
+def _report(start: int, length: int) -> str:
+    return f"""with {_cover(start, length)}, l as (select venue, sum(end_ms - start_ms) m, count(*) n, max(end_ms - start_ms) x, sum(case kind when 'LEADING' then end_ms - start_ms else 0 end) a,
  sum(case kind when 'INTERIOR' then end_ms - start_ms else 0 end) b, sum(case kind when 'TRAILING' then end_ms - start_ms else 0 end) c from gap group by 1),
-k as (select venue, count(distinct t) oc, count(*) - count(distinct t) dc, min(t) f, max(t) z from e where t >= {DAY1} and t < {DAY1 + DAY} group by 1)
-select w.venue, {DAY} - coalesce(m, 0) as covered_ms, coalesce(m, 0) as missing_ms, ({DAY} - coalesce(m, 0)) * 100.0::double / {DAY} as coverage_pct,
- case when coalesce(m, 0) = 0 then 'COMPLETE' when m = {DAY} then 'ABSENT' else 'PARTIAL' end as status, coalesce(n, 0) as gap_count, coalesce(x, 0) as longest_gap_ms,
+k as (select venue, count(distinct t) oc, count(*) - count(distinct t) dc, min(t) f, max(t) z from e where t >= {start} and t < {start + length} group by 1)
+select w.venue, {length} - coalesce(m, 0) as covered_ms, coalesce(m, 0) as missing_ms, ({length} - coalesce(m, 0)) * 100.0::double / {length} as coverage_pct,
+ case when coalesce(m, 0) = 0 then 'COMPLETE' when m = {length} then 'ABSENT' else 'PARTIAL' end as status, coalesce(n, 0) as gap_count, coalesce(x, 0) as longest_gap_ms,
  coalesce(a, 0) as leading_ms, coalesce(b, 0) as interior_ms, coalesce(c, 0) as trailing_ms, coalesce(oc, 0) as observation_count, coalesce(dc, 0) as duplicate_count, f as first_ms, z as last_ms
-from w left join l using (venue) left join k using (venue)""")
+from w left join l using (venue) left join k using (venue)"""
+
+
+@case(_report(DAY1, DAY))
 def coverage_report(spark, d):
     e = events(spark, d)
     return coverage.coverage_report(e, _windows(e), key="venue", time_ms=F.col("t"), tolerance_ms=1_800_000)
 
 
+@case(f"with {_cover(T0, 30 * DAY)} select venue, start_ms, end_ms, end_ms - start_ms as duration_ms, kind from gap")
+def coverage_gaps_whole(spark, d):
+    """``coverage_gaps`` over all days of the events."""
+    e = events(spark, d)
+    return coverage.coverage_gaps(e, _windows(e, T0, 30 * DAY), key="venue", time_ms=F.col("t"), tolerance_ms=1_800_000)
+
+
+@case(_report(T0, 30 * DAY))
+def coverage_report_whole(spark, d):
+    """``coverage_report`` over all days of the events."""
+    e = events(spark, d)
+    return coverage.coverage_report(e, _windows(e, T0, 30 * DAY), key="venue", time_ms=F.col("t"), tolerance_ms=1_800_000)
+
+
 @case("""with o as (select instrument_key, reading_id, epoch_ms(exchange_timestamp) t, epoch_ms(local_timestamp) // 86400000 c from markprice where instrument_key is not null and local_timestamp is not null),
 l as (select *, lag(t) over (partition by instrument_key, c order by reading_id) p from o where t is not null)
 select instrument_key, count(*) as n, count(*) filter (where t < p) as out_of_order, count(*) filter (where t = p) as repeated from l group by 1""")
