@@ -210,6 +210,30 @@ def test_redelivery_against_brute_force(spark):
     assert redelivery.repeated_deliveries(t, seen.where("false"), **how).count() > 0
 
 
+def test_redelivery_with_a_hot_identity_and_many_blocks(spark):
+    rng = random.Random(8)
+    data = [(i, "HOT" if i % 3 == 0 else f"t{rng.randrange(500)}", rng.randrange(0, 10**8)) for i in range(1500)]
+    t = spark.createDataFrame(data, "delivery_id long, key string, at long").repartition(6)
+    seen = spark.createDataFrame([("t1", 5), ("t2", 900), ("gone", 7)], "identity_key string, first_segment_id long")
+    groups = {}
+    for i, key, at in data:
+        groups.setdefault(key, []).append((at, i))
+    want = {i for key, g in groups.items() for _, i in sorted(g)[0 if key in ("t1", "t2") else 1 :]}
+    how = {"identity": F.col("key"), "time_ms": F.col("at"), "seen_bucket": F.floor(F.col("first_segment_id") / 256), "bucket_ms": 10**6, "block_bytes": 64}
+    got = [r.delivery_id for r in redelivery.repeated_deliveries(t, seen, **how).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_bloom_filter_misses_nothing_and_screens():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    h = rng.integers(-(2**63), 2**63 - 1, 20_000)
+    f = redelivery.BloomFilter(h[:10_000], 0.01)
+    assert f.covers(h[:10_000]).all() and f.covers(h[10_000:]).mean() < 0.02
+    assert not redelivery.BloomFilter(h[:0], 0.01).covers(h).any()
+
+
 # Problem 5
 
 
@@ -218,7 +242,7 @@ def test_lateness_verdicts_and_boundaries(spark):
     cases = [(1, 30_000, end + 5_000, None), (2, 30_000, end + 5_001, "corrects"), (3, 59_999, end + 600_000, "corrects"), (4, 0, end + 600_001, "too_late"), (5, None, 10**9, None), (6, 5, None, None)]
     books = spark.createDataFrame([(b, None if b == 6 else b, ts(e), 1.0 * b, "K") for b, e, _, _ in cases], "book_id long, ingest_item_id long, exchange_timestamp timestamp, mid_price double, instrument_key string")
     items = spark.createDataFrame([(b, r, 1.5) for b, _, r, _ in cases], "item_id long, local_receive_ts long, mid_price double")
-    got = {r.book_id: r.verdict for r in lateness.late_rows(lateness.classify(books, items)).collect()}
+    got = {r.book_id: r.verdict for r in lateness.late_rows(lateness.arrivals(books, items)).collect()}
     assert got == {b: v for b, _, _, v in cases if v}
 
 
@@ -227,7 +251,7 @@ def test_minute_revisions_replay_equals_recomputation(spark):
     data = [(i, "K", rng.randrange(0, 180_000), rng.choice([None, float("nan"), *[rng.uniform(1, 9) for _ in range(8)]]), rng.choice([0, 0, 0, 20_000, 100_000, 300_000, 900_000])) for i in range(600)]
     books = spark.createDataFrame([(i, i, ts(e), m, k) for i, k, e, m, _ in data], "book_id long, ingest_item_id long, exchange_timestamp timestamp, mid_price double, instrument_key string")
     items = spark.createDataFrame([(i, e // 60_000 * 60_000 + 60_000 + late) for i, _, e, _, late in data], "item_id long, local_receive_ts long")
-    out = lateness.minute_revisions(lateness.classify(books, items), every=3).collect()
+    out = lateness.minute_revisions(lateness.arrivals(books, items), every=3).collect()
     for r in out:
         upto = r.published_ms - r.minute_ms - 60_000
         known = sorted((e, i, m) for i, _, e, m, late in data if e // 60_000 * 60_000 == r.minute_ms and m == m and m is not None and late <= min(upto, 600_000))
@@ -235,7 +259,15 @@ def test_minute_revisions_replay_equals_recomputation(spark):
         assert (r.high_mid, r.low_mid) == (max(k[2] for k in known), min(k[2] for k in known))
         assert abs(r.mean_mid - sum(k[2] for k in known) / len(known)) < 1e-9
     assert sum(r.is_last for r in out) == 3 and max(r.revision for r in out) >= 2
-    assert lateness.minute_revisions(lateness.classify(books.where("false"), items)).count() == 0
+    assert lateness.minute_revisions(lateness.arrivals(books.where("false"), items)).count() == 0
+
+
+def test_late_rows_without_key_or_price_count(spark):
+    books = spark.createDataFrame([(1, 1, ts(10), None, None), (2, 2, ts(20), 5.0, None), (3, 3, ts(30), None, "K"), (4, 3, ts(30), None, "K"), (5, 9, ts(30), 1.0, "K")], "book_id long, ingest_item_id long, exchange_timestamp timestamp, mid_price double, instrument_key string")
+    items = spark.createDataFrame([(1, 60_000 + 6_000), (2, 60_000 + 700_000), (3, 60_000 + 600_000)], "item_id long, local_receive_ts long")
+    got = sorted((r.book_id, r.verdict) for r in lateness.late_rows(lateness.arrivals(books, items)).collect())
+    assert got == [(1, "corrects"), (2, "too_late"), (3, "corrects"), (4, "corrects")]
+    assert lateness.minute_revisions(lateness.arrivals(books, items)).count() == 0
 
 
 # Problem 6
@@ -269,6 +301,17 @@ def test_drift_changes(spark):
     assert drift.changes(_records(spark, segs).where("false")).count() == 0
 
 
+def test_drift_without_the_alias_table(spark):
+    segs = {1: [{"price": 1.5, "when": "2024-01-01T00:00:00Z", "n": 3}], 2: [{"cost": 1.6, "at": "2024-01-02T00:00:00Z", "n": 4}], 3: [{"cost": 1.6, "at": "2024-01-02T00:00:00Z", "label": "x"}]}
+    got = rows(drift.changes(_records(spark, segs), aliases={}), "segment_seq", "change_kind", "old_name", "new_name")
+    assert got == sorted([(2, "renamed", "price", "cost"), (2, "renamed", "when", "at"), (3, "removed", "n", ""), (3, "added", "", "label")], key=str)
+    names = spark.createDataFrame([("fee", "double", "cost"), ("fee", "double", "price"), ("alone", "long", None)], "canonical string, type string, alias string")
+    aliases = drift.alias_table(names)
+    assert aliases == {"fee": ("double", ("cost", "price")), "alone": ("long", ())}
+    out = drift.one_table(_records(spark, segs), "trades", aliases, {"trades": ("fee", "alone")})
+    assert sorted(r.fee for r in out.collect()) == [1.5, 1.6, 1.6]
+
+
 # Problem 7
 
 

@@ -1,9 +1,10 @@
 """Schemas that drift between files (problem 6): a catalogue of field lifespans, a log of changes, one table per stream.
 
 The records' own top level stands for a file's footer: it is exploded to (producer, stream, segment, field, type) with a
-profile of the content. Lag over a field's segments gives islands, its lifespans; a start is logged as added, an end as
-removed, and a pair of both in one segment as renamed where type, kind of content and, by the alias table, name agree.
-Casts for the one table per stream are made from the alias table.
+profile of the content. Islands of neighbouring segments per producer, field and type are the catalogue of lifespans. All
+changes are read off it: where all of a field's lifespans end it is removed, where the first of them starts it is added, where
+they change it is retyped; a start and an end in one segment are a rename where type, kind of content and, by the alias
+table, name agree. Casts for the one table per stream are made from the alias table, which is a parameter.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrid.session import materialize
+from tidegrid.session import add_package, materialize
 
 #: Canonical field: (type in the one table, other names it goes by).
 ALIASES: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -50,6 +51,19 @@ STREAM_FIELDS = {
     "orderbook": ("timestamp", "exchange_timestamp", "local_timestamp", "bids_price", "bids_qty", "asks_price", "asks_qty", "best_bid", "best_ask",
                   "mid_price", "spread", "instrument_key", "bid_depth", "ask_depth", "update_id", "is_snapshot", "quality_state"),
 }
+#: What values may look like.
+KINDS = ("flag", "key", "time", "whole", "broken", "word")
+PRODUCER = ["collector_run", "stream"]
+
+
+def alias_table(names: DataFrame) -> dict[str, tuple[str, tuple[str, ...]]]:
+    """The alias table of rows (canonical, type, alias): one of each name; a null alias adds only the canonical field. It is a
+    setting: more than 10,000 rows are refused."""
+    rows = names.select("canonical", "type", "alias").limit(10_001).collect()
+    if len(rows) > 10_000:
+        raise ValueError("more than 10,000 aliases")
+    kinds = {r.canonical: r.type for r in rows if r.canonical is not None}
+    return {c: (t, tuple(sorted({r.alias for r in rows if r.canonical == c and r.alias is not None} - {c}))) for c, t in kinds.items()}
 
 
 def fields(records: DataFrame) -> DataFrame:
@@ -86,83 +100,93 @@ def fields(records: DataFrame) -> DataFrame:
     )
     shape = F.substring(F.regexp_replace(F.regexp_replace("_first", r"\d+", "9"), r"\p{L}+", "a"), 1, 40)
     parsed = parsed.withColumn("kind", kind).withColumn("shape", shape).withColumn("scale", F.log10(F.abs(number) + 1e-9))
-    return parsed.groupBy("collector_run", "stream", "segment_seq", "field", "type").agg(
-        F.count(F.lit(1)).alias("n"), F.mode("kind", True).alias("kind"), F.mode("shape", True).alias("shape"), F.avg("scale").alias("scale")
+    keys = ["collector_run", "stream", "segment_seq", "field", "type"]
+    alike = parsed.groupBy(*keys, "kind", "shape").agg(F.count(F.lit(1)).alias("c"), F.sum("scale").alias("s"), F.count("scale").alias("m"))
+    by_kind = [F.struct(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("c"))), F.lit(0)).alias("c"), F.lit(k).alias("k")) for k in KINDS]
+    return alike.groupBy(*keys).agg(
+        F.sum("c").alias("n"), F.greatest(*by_kind)["k"].alias("kind"), F.max_by("shape", F.struct("c", "shape")).alias("shape"), F.try_divide(F.sum("s"), F.sum("m")).alias("scale")
     )
 
 
-def lifespans(found: DataFrame) -> DataFrame:
-    """The catalogue: (collector_run, stream, field, type, first_seg, last_seg, n), one row per island of neighbouring segments."""
-    w = Window.partitionBy("collector_run", "stream", "field", "type").orderBy("segment_seq")
+def _catalogue(found: DataFrame) -> DataFrame:
+    """``lifespans`` with what the field looked like in the first and the last segment of each."""
+    w = Window.partitionBy(*PRODUCER, "field", "type").orderBy("segment_seq")
     island = found.withColumn("island", F.col("segment_seq") - F.row_number().over(w))
-    return island.groupBy("collector_run", "stream", "field", "type", "island").agg(
-        F.min("segment_seq").alias("first_seg"), F.max("segment_seq").alias("last_seg"), F.sum("n").alias("n")
+    look = F.struct("n", "type", "kind", "shape", "scale")
+    return island.groupBy(*PRODUCER, "field", "type", "island").agg(
+        F.min("segment_seq").alias("first_seg"), F.max("segment_seq").alias("last_seg"), F.sum("n").alias("total"),
+        F.min_by(look, "segment_seq").alias("first_look"), F.max_by(look, "segment_seq").alias("last_look"),
     ).drop("island")
 
 
-def _family(field: Column) -> Column:
-    names = {alias: name for name, (_, others) in ALIASES.items() for alias in (name, *others)}
-    return F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), field)
-
-
-def changes(records: DataFrame) -> DataFrame:
+def lifespans(found: DataFrame) -> DataFrame:
+    """The catalogue: (collector_run, stream, field, type, first_seg, last_seg, n), one row per island of neighbouring segments."""
+    return _catalogue(found).select(*PRODUCER, "field", "type", "first_seg", "last_seg", F.col("total").alias("n"))
+
+
+def _family(aliases: dict) -> dict[str, str]:
+    return {alias: name for name, (_, others) in aliases.items() for alias in (name, *others)}
+
+
+def _named(pdf, family: dict[str, str]):
+    """The changes of one segment: starts and ends matched to renames where each is the other's best, all else added, removed or retyped."""
+    import pandas as pd
+
+    out, starts, ends = [], [], []
+    at = tuple(pdf[c].iloc[0] for c in (*PRODUCER, "segment_seq"))
+    for r in pdf.sort_values("field").itertuples():
+        if r.before and r.now:
+            out.append(("retyped", r.field, r.field))
+        else:
+            (starts if r.now else ends).append(r)
+
+    def score(old, new):
+        if old.types != new.types:
+            return None
+        a, b = family.get(old.field), family.get(new.field)
+        known = a is not None and b is not None
+        far = abs(old.scale - new.scale) if old.scale == old.scale and new.scale == new.scale and None not in (old.scale, new.scale) else 0.0
+        alike = old.kind == new.kind and far < 0.5 and (old.kind != "word" or old.shape == new.shape)
+        if a != b if known else not alike:
+            return None
+        return (not known, old.shape != new.shape, far, old.field, new.field)
+
+    pairs = [(s, o.field, n.field) for o in ends for n in starts if (s := score(o, n)) is not None]
+    best_old = {o: min(p for p in pairs if p[1] == o) for _, o, _ in pairs}
+    best_new = {n: min(p for p in pairs if p[2] == n) for _, _, n in pairs}
+    renamed = {p[1]: p[2] for p in pairs if best_old[p[1]] == p == best_new[p[2]]}
+    out += [("renamed", o, n) for o, n in renamed.items()]
+    out += [("removed", o.field, "") for o in ends if o.field not in renamed]
+    out += [("added", "", n.field) for n in starts if n.field not in renamed.values()]
+    return pd.DataFrame([(*at, *row) for row in out], columns=[*PRODUCER, "segment_seq", "change_kind", "old_name", "new_name"])
+
+
+def changes(records: DataFrame, aliases: dict | None = None) -> DataFrame:
     """(collector_run, stream, segment_seq, change_kind, old_name, new_name) of each segment against the one before it.
 
     A segment whose predecessor has no records is compared with nothing. Renames are matched one to one within a segment
-    and type: first names of one canonical field in the alias table, then, among names unknown to it, equal kinds of
+    and type: first names of one canonical field in the alias table, then, where a name is unknown to it, equal kinds of
     content of like shape and magnitude. What isn't matched is added or removed. A field of several types in a segment
-    is retyped when its set of types changes.
+    is retyped when its set of types changes. A segment's starts and ends, at most its fields, are matched in one place.
     """
+    add_package(records.sparkSession)
+    family = _family(ALIASES if aliases is None else aliases)
     found = materialize(fields(records), "fields")
-    segments = found.select("collector_run", "stream", "segment_seq").distinct()
-    producer = ["collector_run", "stream"]
-    profile = found.groupBy(*producer, "segment_seq", "field").agg(
-        F.concat_ws("+", F.array_sort(F.collect_set("type"))).alias("types"),
-        *[F.max_by(c, F.struct("n", "type")).alias(c) for c in ("kind", "shape", "scale")],
-    )
-    w = Window.partitionBy(*producer, "field").orderBy("segment_seq")
-    near = profile.withColumn("before", F.lag("segment_seq").over(w)).withColumn("after", F.lead("segment_seq").over(w)).withColumn(
-        "types_before", F.lag("types").over(w)
-    )
-    retyped = near.where((F.col("before") == F.col("segment_seq") - 1) & (F.col("types") != F.col("types_before"))).select(
-        *producer, "segment_seq", F.lit("retyped").alias("change_kind"), F.col("field").alias("old_name"), F.col("field").alias("new_name")
-    )
-    sides = ["segment_seq", "field", "types", "kind", "shape", "scale"]
-    starts = near.where(F.coalesce(F.col("before") != F.col("segment_seq") - 1, F.lit(True))).select(*producer, *sides)
-    ends = near.where(F.coalesce(F.col("after") != F.col("segment_seq") + 1, F.lit(True))).select(
-        *producer, (F.col("segment_seq") + 1).alias("segment_seq"), *sides[1:]
-    )
-    has_before = segments.select(*producer, (F.col("segment_seq") + 1).alias("segment_seq"))
-    starts = starts.join(has_before, [*producer, "segment_seq"], "left_semi").withColumn("family", _family(F.col("field")))
-    ends = ends.join(segments, [*producer, "segment_seq"], "left_semi").withColumn("family", _family(F.col("field")))
-    at = [*producer, "segment_seq"]
-    a, b = ends.alias("a"), starts.alias("b")
-    pairs = a.join(b, [*at, "types"]).where(
-        (F.col("a.family") == F.col("b.family"))
-        | (F.col("a.family").isNull() | F.col("b.family").isNull())
-        & (F.col("a.kind") == F.col("b.kind"))
-        & (F.coalesce(F.abs(F.col("a.scale") - F.col("b.scale")), F.lit(0.0)) < 0.5)
-        & ((F.col("a.kind") != "word") | (F.col("a.shape") == F.col("b.shape")))
-    )
-    same = F.coalesce(F.col("a.family") == F.col("b.family"), F.lit(False))
-    score = F.struct(
-        (~same).alias("s"),
-        (F.col("a.shape") != F.col("b.shape")).alias("p"),
-        F.coalesce(F.abs(F.col("a.scale") - F.col("b.scale")), F.lit(0.0)).alias("d"),
-        F.col("a.field").alias("x"),
-        F.col("b.field").alias("y"),
-    )
-    pairs = pairs.select(*at, F.col("a.field").alias("old_name"), F.col("b.field").alias("new_name"), score.alias("score"))
-    best_old = F.row_number().over(Window.partitionBy(*at, "old_name").orderBy("score"))
-    best_new = F.row_number().over(Window.partitionBy(*at, "new_name").orderBy("score"))
-    renamed = pairs.withColumn("i", best_old).withColumn("j", best_new).where("i = 1 and j = 1").select(
-        *at, F.lit("renamed").alias("change_kind"), "old_name", "new_name"
+    spans = _catalogue(found)
+    edge = lambda seg, look, start: F.struct(seg.cast("int").alias("segment_seq"), F.lit(start).alias("start"), F.col(look).alias("look"))
+    edges = F.array(edge(F.col("first_seg"), "first_look", 1), edge(F.col("last_seg") + 1, "last_look", 0))
+    at = spans.select(*PRODUCER, "field", F.explode(edges).alias("e")).select(*PRODUCER, "field", "e.*")
+    at = at.groupBy(*PRODUCER, "field", "segment_seq").agg(
+        F.sum("start").alias("starts"), F.sum(1 - F.col("start")).alias("ends"), F.max("look").alias("look"), F.concat_ws("+", F.array_sort(F.collect_set("look.type"))).alias("types")
     )
-    added = starts.select(*at, F.lit("added").alias("change_kind"), F.lit("").alias("old_name"), F.col("field").alias("new_name"))
-    added = added.join(renamed.select(*at, "new_name"), [*at, "new_name"], "left_anti")
-    removed = ends.select(*at, F.lit("removed").alias("change_kind"), F.col("field").alias("old_name"), F.lit("").alias("new_name"))
-    removed = removed.join(renamed.select(*at, "old_name"), [*at, "old_name"], "left_anti")
-    return retyped.unionByName(renamed).unionByName(added).unionByName(removed)
+    # lifespans of the field that hold this segment, and those that hold the one before
+    alive = F.sum(F.col("starts") - F.col("ends")).over(Window.partitionBy(*PRODUCER, "field").orderBy("segment_seq"))
+    at = at.withColumn("now", alive).withColumn("before", F.col("now") - F.col("starts") + F.col("ends"))
+    segments = found.select(*PRODUCER, "segment_seq").distinct()
+    compared = segments.join(segments.select(*PRODUCER, (F.col("segment_seq") + 1).alias("segment_seq")), [*PRODUCER, "segment_seq"], "left_semi")
+    at = at.join(compared, [*PRODUCER, "segment_seq"], "left_semi").select(*PRODUCER, "segment_seq", "field", "now", "before", "types", "look.kind", "look.shape", "look.scale")
+    schema = "collector_run long, stream string, segment_seq int, change_kind string, old_name string, new_name string"
+    return at.groupBy(*PRODUCER, "segment_seq").applyInPandas(lambda pdf: _named(pdf, family), schema)
 
 
 def _cast(kind: str, text: Column) -> Column:
@@ -181,18 +205,19 @@ def _cast(kind: str, text: Column) -> Column:
     return text if kind == "string" else text.try_cast(kind)
 
 
-def one_table(records: DataFrame, stream: str) -> DataFrame:
+def one_table(records: DataFrame, stream: str, aliases: dict | None = None, stream_fields: dict | None = None) -> DataFrame:
     """All records of a stream in one schema: record_id, collector_run, segment_seq, row_no, then the stream's fields.
 
     Of several names of one field in a record the first in the alias table that is non-null counts. What can't be cast
     is null, as is everything of a payload that is no JSON object. Fields unknown to the alias table are left to ``extra``,
     a map of their texts.
     """
+    aliases = ALIASES if aliases is None else aliases
     rows = records.where(F.col("stream") == stream).withColumn("_m", F.from_json("payload", "map<string,string>"))
     columns = []
     known: list[str] = []
-    for name in STREAM_FIELDS[stream]:
-        kind, others = ALIASES[name]
+    for name in (STREAM_FIELDS if stream_fields is None else stream_fields)[stream]:
+        kind, others = aliases[name]
         known += [name, *others]
         columns.append(_cast(kind, F.coalesce(*[F.col("_m")[x] for x in (name, *others)])).alias(name))
     names = F.array(*[F.lit(x) for x in known])

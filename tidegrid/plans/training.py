@@ -17,7 +17,7 @@ def query(f):
 
 
 def _lateness(spark, sf_dir):
-    return lateness.classify(read_table(spark, sf_dir, "orderbook"), read_table(spark, sf_dir, "ingest_items"))
+    return lateness.arrivals(read_table(spark, sf_dir, "orderbook"), read_table(spark, sf_dir, "ingest_items"))
 
 
 @query
@@ -34,7 +34,7 @@ def p5_minutes(spark, sf_dir):
 
 @query
 def p5_revisions(spark, sf_dir):
-    return lateness.minute_revisions(_lateness(spark, sf_dir))
+    return lateness.minute_revisions(_lateness(spark, sf_dir)).withColumn("mean_mid", F.round("mean_mid", 7))
 
 
 _P5 = """
@@ -49,6 +49,15 @@ select k as instrument_key, m as minute_ms, count(*) as n_rows, arg_min(mid_pric
 from r where late <= 600000 and k is not null and mid_price is not null and not isnan(mid_price) group by all"""
 
 
+ORACLE["p5_revisions"] = _P5 + """, u as (select *, case when late <= 5000 then 0 else (late - 5000 + 59999) // 60000 end tick from r
+  where late <= 600000 and k is not null and mid_price is not null and not isnan(mid_price)),
+ticks as (select distinct k, m, tick from u),
+p as (select ticks.k, ticks.m, ticks.tick, count(*) n, arg_min(mid_price, (t, book_id)) a, max(mid_price) h, min(mid_price) lo, arg_max(mid_price, (t, book_id)) z,
+             round(sum(mid_price) / count(*), 7) mean from ticks join u on u.k = ticks.k and u.m = ticks.m and u.tick <= ticks.tick group by all)
+select k as instrument_key, m as minute_ms, (row_number() over (partition by k, m order by tick) - 1)::int as revision, m + 65000 + tick * 60000 as published_ms, n as n_rows,
+       a as open_mid, h as high_mid, lo as low_mid, z as close_mid, mean as mean_mid, tick = max(tick) over (partition by k, m) as is_last from p"""
+
+
 def _grid(spark, sf_dir):
     marks = gridding.usable_readings(
         read_table(spark, sf_dir, "markprice"), series="markprice", id_col="reading_id", time_ms=F.unix_millis("local_timestamp")
@@ -94,7 +103,7 @@ from x group by series, instrument_key, c"""
 def _p4(spark, sf_dir):
     trades = read_table(spark, sf_dir, "trade_events")
     return trades, read_table(spark, sf_dir, "seen_trade_ids"), {
-        "identity": redelivery.trade_identity(trades), "time_ms": F.unix_millis("local_receive_ts")
+        "identity": redelivery.trade_identity(trades), "time_ms": F.unix_millis("local_receive_ts"), "seen_bucket": F.floor(F.col("first_segment_id") / 256)
     }
 
 
@@ -141,12 +150,53 @@ def p6_orderbook(spark, sf_dir):
     return drift.one_table(read_table(spark, sf_dir, "raw_records"), "orderbook").drop("extra")
 
 
-ORACLE["p6_lifespans"] = """
+def _alias_values() -> str:
+    pairs = [(alias, name) for name, (_, others) in drift.ALIASES.items() for alias in (name, *others)]
+    return ", ".join(f"('{alias}', '{name}')" for alias, name in pairs)
+
+
+_P6 = """
 with f as (select collector_run, stream, segment_seq, k.field, payload -> ('$."' || k.field || '"') as v
            from (select *, unnest(json_keys(payload)) as field from raw_records) k),
 t as (select collector_run, stream, segment_seq, field, case json_type(v) when 'VARCHAR' then 'text' when 'BOOLEAN' then 'boolean'
              when 'ARRAY' then 'list' when 'OBJECT' then 'object' else 'number' end as type, count(*) n
-      from f where v is not null and json_type(v) <> 'NULL' group by all),
+      from f where v is not null and json_type(v) <> 'NULL' group by all)"""
+
+# names unknown to the alias table aren't matched here: the test tables' renames are all in it
+ORACLE["p6_found"] = _P6 + f""", al(field, family) as (values {_alias_values()}),
+h as (select collector_run r, stream s, segment_seq q, field, string_agg(type, '+' order by type) types from t group by all),
+seg as (select distinct r, s, q from h), cmp as (select a.r, a.s, a.q from seg a join seg b on a.r = b.r and a.s = b.s and a.q = b.q + 1),
+now as (select cmp.*, field, types from cmp join h using (r, s, q)), old as (select cmp.*, field, types from cmp join h on h.r = cmp.r and h.s = cmp.s and h.q = cmp.q - 1),
+starts as (select now.*, family from now anti join old using (r, s, q, field) left join al using (field)),
+ends as (select old.*, family from old anti join now using (r, s, q, field) left join al using (field)),
+ren as (select a.r, a.s, a.q, a.field old_name, b.field new_name from ends a join starts b using (r, s, q, family, types))
+select r as collector_run, s as stream, q as segment_seq, 'retyped' as change_kind, field as old_name, field as new_name from now join old using (r, s, q, field) where now.types <> old.types
+union all select r, s, q, 'renamed', old_name, new_name from ren
+union all select r, s, q, 'added', '', field from starts anti join ren on starts.r = ren.r and starts.s = ren.s and starts.q = ren.q and field = new_name
+union all select r, s, q, 'removed', field, '' from ends anti join ren on ends.r = ren.r and ends.s = ren.s and ends.q = ren.q and field = old_name"""
+
+
+def _one_table_sql(stream: str) -> str:
+    def column(name: str) -> str:
+        kind, others = drift.ALIASES[name]
+        x = "coalesce(" + ", ".join(f"payload ->> '$.\"{n}\"'" for n in (name, *others)) + ")"
+        return {
+            "time": f"coalesce(try_cast({x} as bigint), trunc(try_cast({x} as double))::bigint, epoch_ms(try_cast({x} as timestamptz)))",
+            "flag": f"coalesce(try_cast({x} as boolean), try_cast({x} as double) <> 0)",
+            "key": f"case when {x} like '[%' then array_to_string(try_cast(try_cast({x} as json) as varchar[]), '|') else {x} end",
+            "doubles": f"try_cast(try_cast({x} as json) as double[])",
+            "long": f"coalesce(try_cast({x} as bigint), trunc(try_cast({x} as double))::bigint)",
+            "string": x,
+            "double": f"try_cast({x} as double)",
+        }[kind] + f" as {name}"
+
+    columns = ",\n ".join(column(n) for n in drift.STREAM_FIELDS[stream])
+    return f"select record_id, collector_run, segment_seq, row_no, {columns} from raw_records where stream = '{stream}'"
+
+
+ORACLE["p6_trades"] = _one_table_sql("trades")
+ORACLE["p6_orderbook"] = _one_table_sql("orderbook")
+ORACLE["p6_lifespans"] = _P6 + """,
 i as (select *, segment_seq - row_number() over (partition by collector_run, stream, field, type order by segment_seq) g from t)
 select collector_run, stream, field, type, min(segment_seq) as first_seg, max(segment_seq) as last_seg, sum(n) as n
 from i group by collector_run, stream, field, type, g"""
