@@ -128,13 +128,10 @@ def _family(aliases: dict) -> dict[str, str]:
     return {alias: name for name, (_, others) in aliases.items() for alias in (name, *others)}
 
 
-def _named(pdf, family: dict[str, str]):
+def _named(at: tuple, rows: list, family: dict[str, str]) -> list[tuple]:
     """The changes of one segment: starts and ends matched to renames where each is the other's best, all else added, removed or retyped."""
-    import pandas as pd
-
     out, starts, ends = [], [], []
-    at = tuple(pdf[c].iloc[0] for c in (*PRODUCER, "segment_seq"))
-    for r in pdf.sort_values("field").itertuples():
+    for r in rows:
         if r.before and r.now:
             out.append(("retyped", r.field, r.field))
         else:
@@ -158,7 +155,7 @@ def _named(pdf, family: dict[str, str]):
     out += [("renamed", o, n) for o, n in renamed.items()]
     out += [("removed", o.field, "") for o in ends if o.field not in renamed]
     out += [("added", "", n.field) for n in starts if n.field not in renamed.values()]
-    return pd.DataFrame([(*at, *row) for row in out], columns=[*PRODUCER, "segment_seq", "change_kind", "old_name", "new_name"])
+    return [(*at, *row) for row in out]
 
 
 def changes(records: DataFrame, aliases: dict | None = None) -> DataFrame:
@@ -167,7 +164,7 @@ def changes(records: DataFrame, aliases: dict | None = None) -> DataFrame:
     A segment whose predecessor has no records is compared with nothing. Renames are matched one to one within a segment
     and type: first names of one canonical field in the alias table, then, where a name is unknown to it, equal kinds of
     content of like shape and magnitude. What isn't matched is added or removed. A field of several types in a segment
-    is retyped when its set of types changes. A segment's starts and ends, at most its fields, are matched in one place.
+    is retyped when its set of types changes. A segment's starts and ends, at most its fields, are matched in one place; segments stream through it.
     """
     add_package(records.sparkSession)
     family = _family(ALIASES if aliases is None else aliases)
@@ -186,7 +183,25 @@ def changes(records: DataFrame, aliases: dict | None = None) -> DataFrame:
     compared = segments.join(segments.select(*PRODUCER, (F.col("segment_seq") + 1).alias("segment_seq")), [*PRODUCER, "segment_seq"], "left_semi")
     at = at.join(compared, [*PRODUCER, "segment_seq"], "left_semi").select(*PRODUCER, "segment_seq", "field", "now", "before", "types", "look.kind", "look.shape", "look.scale")
     schema = "collector_run long, stream string, segment_seq int, change_kind string, old_name string, new_name string"
-    return at.groupBy(*PRODUCER, "segment_seq").applyInPandas(lambda pdf: _named(pdf, family), schema)
+
+    def named(batches):
+        import pandas as pd
+
+        place, held = None, []
+        columns = [c.split()[0] for c in schema.split(", ")]
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                if r[:3] != place:
+                    out += _named(place, held, family) if held else []
+                    place, held = r[:3], []
+                held.append(r)
+            yield pd.DataFrame(out, columns=columns)
+        if held:
+            yield pd.DataFrame(_named(place, held, family), columns=columns)
+
+    by = [*PRODUCER, "segment_seq"]
+    return at.repartition(*by).sortWithinPartitions(*by, "field").mapInPandas(named, schema)
 
 
 def _cast(kind: str, text: Column) -> Column:
