@@ -1,12 +1,15 @@
 """Mixing of sources to target weights (problem 9).
 
-1. ``pack_blocks``: one narrow stage encodes the texts and packs each source's tokens into blocks of a fixed length; the
-   blocks are written once to the shared folder (a task's last block of a source may be short; no token is lost).
-2. Blocks of a source are numbered by adding per-task counts, so that no source is sorted or gathered in one place.
-3. ``plan_slots``: the size of a mix is the largest at which every source reaches its weight within max_repeats. Each
-   group of shards gets its exact part of every source; within a group each shard's counts are drawn at random (the
-   multinomial draw under the condition that the group's totals are kept), and the n-th slot of a source takes block
-   permutation(n mod blocks) of round n div blocks, a keyed pseudorandom permutation of the source's block numbers.
+1. ``pack_blocks``: documents fall into shards by hash, a number of them set by the number of documents alone, and are
+   ordered by id within. A task encodes the texts of its shards and packs each source's tokens into blocks of a fixed length.
+   What is left of a shard and source is packed again with that of other shards, so a source has one short block for each
+   TAILS shards. Blocks depend on the documents, not on how their table is split.
+2. Blocks of a source are numbered by adding counts per shard, full ones first, so that no source is sorted in one place.
+3. ``quotas``, in tokens: the size of a mix is the largest at which every source reaches its weight within max_repeats.
+   ``plan_slots``: whole rounds take all of a source's blocks, the last round takes full ones and cuts the very last block, so
+   a source's tokens are its quota. Each group of shards gets its exact part of every source; within a group each shard's
+   counts are drawn at random (the multinomial draw under the condition that the group's totals are kept), and the n-th slot of
+   a source takes a block by a keyed pseudorandom permutation of the source's block numbers, one for each round.
 4. Slots and blocks meet in one equi-join on (source, block number).
 """
 
@@ -17,11 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.llm.tokens import TOKENIZER_DIR, LibraryEncoder, encoded, slices, word_encoder
-from tidegrid.session import add_package, scratch_path
+from tidegrid.session import add_package, materialize
 
 
 #: Rows of (source, task, start) that may be broadcast: some 30 MB.
 MOST_BROADCAST_ROWS = 500_000
+#: Shards whose left-over tokens are packed together: at most TAILS * (block_tokens - 1) tokens a source in one place.
+TAILS = 256
 
 
 def source_name(column):
@@ -29,76 +34,87 @@ def source_name(column):
     return F.lower(F.regexp_replace(column, r"^[\s ]+|[\s ]+$", ""))
 
 
+def _cut(ids, block_tokens: int):
+    """Ends of the blocks of a run of tokens; the last may be short."""
+    import numpy as np
+
+    return np.minimum(np.arange(-(-len(ids) // block_tokens) + 1) * block_tokens, len(ids)).astype(np.int32)
+
+
 def pack_blocks(
     docs: DataFrame,
     *,
+    id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
     block_tokens: int = 512,
+    docs_per_shard: int = 4_000,
     tokenizer: str = f"{TOKENIZER_DIR}/byte_bpe_50k.json",
     slice_bytes: int = 8_000_000,
 ) -> DataFrame:
-    """(source, task, at, n_tokens, ids): blocks of each source's tokens, at from 0 in each task. Null sources are left out."""
-    add_package(docs.sparkSession)
+    """(source, shard, at, n_tokens, ids): blocks of each source's tokens, at from 0 in each shard, the last one of a shard maybe
+    short. Null sources are left out. docs_per_shard: documents of a shard, on the average."""
+    spark = docs.sparkSession
+    add_package(spark)
+    shards = max(1, -(-docs.count() // docs_per_shard))
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
-        from pyspark import TaskContext
-
-        task = TaskContext.get().partitionId()
-        rest, made = {}, {}
-
-        def emit(name, ids, whole):
-            n = len(ids) // block_tokens + bool(not whole and len(ids) % block_tokens)
-            used = min(len(ids), n * block_tokens)
-            if n:
-                ends = np.minimum(np.arange(n + 1) * block_tokens, used).astype(np.int32)
-                at = made.get(name, 0)
-                made[name] = at + n
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name] * n),
-                        pa.array(np.full(n, task, np.int32)),
-                        pa.array(np.arange(at, at + n, dtype=np.int64)),
-                        pa.array(np.diff(ends)),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[:used])),
-                    ],
-                    ["source", "task", "at", "n_tokens", "ids"],
-                )
-            rest[name] = ids[used:]
 
+        def emit(shard, name, ids):
+            ends = _cut(ids, block_tokens)
+            n = len(ends) - 1
+            columns = [pa.array([name] * n), pa.array(np.full(n, shard, np.int64)), pa.array(np.arange(n)), pa.array(np.diff(ends)), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))]
+            return pa.RecordBatch.from_arrays(columns, ["source", "shard", "at", "n_tokens", "ids"])
+
+        shard, held = None, {}
         for table in slices(batches, "text", slice_bytes):
             _, _, _, first, ids, counts = encoded(table["text"], word_encoder(tokenizer, LibraryEncoder))
             ends = np.concatenate([[0], np.cumsum(counts)])[first]
-            names = table["source"].combine_chunks().dictionary_encode()
-            names = names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names
-            code = names.indices.to_numpy()
-            for i, name in enumerate(names.dictionary.to_pylist()):
-                rows = np.flatnonzero(code == i)
-                held = [rest.get(name, np.zeros(0, np.int32)), *(ids[ends[r] : ends[r + 1]] for r in rows)]
-                yield from emit(name, np.concatenate(held), True)
-        for name in list(rest):
-            yield from emit(name, rest[name], False)
-
-    texts = docs.select(source_name(F.col(source_col)).alias("source"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+            names, of = table["source"].to_pylist(), table["shard"].to_numpy()
+            for row, (name, at) in enumerate(zip(names, of.tolist())):
+                if at != shard:
+                    yield from (emit(shard, n, np.concatenate(v)) for n, v in held.items())
+                    shard, held = at, {}
+                held.setdefault(name, []).append(ids[ends[row] : ends[row + 1]])
+        yield from (emit(shard, n, np.concatenate(v)) for n, v in held.items())
+
+    id_, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.select(source_name(F.col(source_col)).alias("source"), text.alias("text"), id_.alias("id"), F.pmod(F.xxhash64(id_, text), F.lit(shards)).alias("shard"))
     texts = texts.where(F.col("source").isNotNull() & (F.length("text") > 0))
-    return texts.mapInArrow(run, "source string, task int, at long, n_tokens int, ids array<int>")
+    parts = min(shards, 100 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    texts = texts.repartition(parts, "shard").sortWithinPartitions("shard", "id", "text", "source")
+    return texts.mapInArrow(run, "source string, shard long, at long, n_tokens int, ids array<int>")
 
 
-def stored_blocks(docs: DataFrame, **options) -> DataFrame:
-    """The blocks written to the shared folder and numbered: (source, block_no, n_tokens, ids)."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "blocks")
-    pack_blocks(docs, **options).write.option("compression", "zstd").parquet(path)
-    blocks = spark.read.parquet(path)
-    by_task = blocks.groupBy("source", "task").agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
-    starts = by_task.select("source", "task", F.coalesce(before, F.lit(0)).alias("start"))
-    if by_task.count() <= MOST_BROADCAST_ROWS:  # a row for each task and source; beyond the bound, a shuffled join
+def stored_blocks(docs: DataFrame, *, block_tokens: int = 512, **options) -> DataFrame:
+    """The blocks written to the shared folder and numbered: (source, block_no, n_tokens, ids). A source's full blocks come first."""
+    packed = materialize(pack_blocks(docs, block_tokens=block_tokens, **options), "blocks")
+    whole = F.col("n_tokens") == block_tokens
+
+    def again(pdf):
+        import numpy as np
+        import pandas as pd
+
+        pdf = pdf.sort_values("shard")
+        ids = np.concatenate([np.asarray(x, np.int32) for x in pdf.ids])
+        ends = _cut(ids, block_tokens)
+        rows = [(pdf.source.iloc[0], int(pdf.grp.iloc[0]), k, int(b - a), ids[a:b]) for k, (a, b) in enumerate(zip(ends[:-1], ends[1:]))]
+        return pd.DataFrame(rows, columns=["source", "shard", "at", "n_tokens", "ids"])
+
+    grp = F.floor(F.col("shard") / TAILS).cast("long")
+    tails = packed.where(~whole).select("source", "shard", "ids", grp.alias("grp")).groupBy("source", "grp").applyInPandas(again, packed.schema)
+    tails = materialize(tails, "block-tails")
+    # 0: packed at once, 1: full, of tails, 2: short
+    blocks = packed.where(whole).withColumn("kind", F.lit(0)).unionByName(tails.withColumn("kind", F.when(whole, 1).otherwise(2)))
+    blocks = blocks.withColumn("at", F.when(F.col("kind") == 2, 0).otherwise(F.col("at")))  # a group of tails has one short block
+    by_shard = blocks.groupBy("source", "kind", "shard").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("source").orderBy("kind", "shard").rowsBetween(Window.unboundedPreceding, -1))
+    starts = materialize(by_shard.select("source", "kind", "shard", F.coalesce(before, F.lit(0)).alias("start")), "block-starts")
+    if starts.count() <= MOST_BROADCAST_ROWS:  # a row for each shard and source; beyond the bound, a shuffled join
         starts = F.broadcast(starts)
-    numbered = blocks.join(starts, ["source", "task"])
+    numbered = blocks.join(starts, ["source", "kind", "shard"])
     return numbered.select("source", (F.col("start") + F.col("at")).alias("block_no"), "n_tokens", "ids")
 
 
@@ -123,29 +139,44 @@ def permuted(index, size: int, key: int):
     return out.astype(np.int64)
 
 
-def quotas(weights: dict[str, float], blocks: dict[str, int], repeats: dict[str, int]) -> dict[str, int]:
-    """Slots of each source in the largest mix that keeps the weights within the repeats. Sources without blocks, weight
+def quotas(weights: dict[str, float], tokens: dict[str, int], repeats: dict[str, int]) -> dict[str, int]:
+    """Tokens of each source in the largest mix that keeps the weights within the repeats. Sources without tokens, weight
     or repeats have none; the weights of the others are taken relative to their sum."""
-    able = {s: w for s, w in weights.items() if w and w > 0 and blocks.get(s) and (repeats.get(s) or 0) > 0}
+    able = {s: w for s, w in weights.items() if w and w > 0 and tokens.get(s) and (repeats.get(s) or 0) > 0}
     if not able:
         return {}
     total = sum(able.values())
-    size = min(blocks[s] * repeats[s] * total / w for s, w in able.items())
-    share = {s: size * w / total for s, w in able.items()}
-    return {s: min(int(x + 1e-9), blocks[s] * repeats[s]) for s, x in share.items()}
-
-
-def plan_slots(spark, mixes: dict[str, dict[str, tuple[int, int]]], *, shard_blocks: int = 1024, group_shards: int = 64, seed: int = 17) -> DataFrame:
-    """(mix_name, shard, slot, source, round, block_no) for mixes {mix: {source: (slots, blocks of the source)}}.
+    size = min(tokens[s] * repeats[s] * total / w for s, w in able.items())
+    return {s: min(int(size * w / total + 1e-6), tokens[s] * repeats[s]) for s, w in able.items()}
+
+
+def slots_of(quota: int, block_tokens: int, full: int, shorts: list[int]) -> tuple[int, int]:
+    """(slots, tokens of the last one) that hold exactly ``quota`` tokens of a source of ``full`` full blocks and some short ones:
+    whole rounds of all blocks, then full blocks, then short ones, the last cut."""
+    round_tokens, round_slots = full * block_tokens + sum(shorts), full + len(shorts)
+    rounds, rest = divmod(quota, round_tokens)
+    if not rest:  # ends with the last block of a round, which nothing cuts
+        return rounds * round_slots, -1
+    slots = min(full, -(-rest // block_tokens))
+    if rest <= slots * block_tokens:
+        return rounds * round_slots + slots, rest - (slots - 1) * block_tokens
+    rest -= slots * block_tokens
+    for n in shorts:
+        slots += 1
+        if rest <= n:
+            break
+        rest -= n
+    return rounds * round_slots + slots, rest
+
+
+def plan_slots(spark, mixes: dict[str, dict[str, tuple[int, int, int, int]]], *, shard_blocks: int = 1024, group_shards: int = 64, seed: int = 17) -> DataFrame:
+    """(mix_name, shard, slot, source, round, block_no, take) for mixes {mix: {source: (slots, blocks of the source, full blocks
+    among them, tokens of the last slot)}}; take: tokens to take of the block, -1 for all.
 
     Slots from 0 in each shard; every shard but a group's last has shard_blocks of them. The same seed, the same plan.
     """
     add_package(spark)
-    groups = []
-    for mix, sources in sorted(mixes.items()):
-        size = sum(n for n, _ in sources.values())
-        n_groups = max(1, -(-size // (shard_blocks * group_shards)))
-        groups.append((mix, n_groups))
+    groups = [(mix, max(1, -(-sum(x[0] for x in sources.values()) // (shard_blocks * group_shards)))) for mix, sources in sorted(mixes.items())]
     plan = {m: sorted(s.items()) for m, s in mixes.items()}
 
     def run(batches):
@@ -157,7 +188,7 @@ def plan_slots(spark, mixes: dict[str, dict[str, tuple[int, int]]], *, shard_blo
         for pdf in batches:
             for mix, group, n_groups in zip(pdf["mix_name"], pdf["grp"], pdf["n_groups"]):
                 names = [s for s, _ in plan[mix]]
-                slots = [n for _, (n, _) in plan[mix]]
+                slots = [x[0] for _, x in plan[mix]]
                 begin = [n * group // n_groups for n in slots]
                 left = np.array([n * (group + 1) // n_groups for n in slots]) - begin
                 place = np.array(begin)
@@ -170,34 +201,33 @@ def plan_slots(spark, mixes: dict[str, dict[str, tuple[int, int]]], *, shard_blo
                     order = rng.permutation(size)
                     which = np.repeat(np.arange(len(names)), draw)
                     nth = np.concatenate([np.arange(p, p + d) for p, d in zip(place, draw)])
-                    block, turn = np.zeros(size, np.int64), np.zeros(size, np.int64)
-                    for i, (name, (_, blocks)) in enumerate(plan[mix]):
+                    block, turn, take = np.zeros(size, np.int64), np.zeros(size, np.int64), np.full(size, -1, np.int32)
+                    for i, (name, (n_slots, blocks, full, last)) in enumerate(plan[mix]):
                         mine = which == i
                         turn[mine] = nth[mine] // blocks
                         for t in np.unique(turn[mine]):
                             key = int.from_bytes(hashlib.sha256(f"{seed}|{mix}|{name}|{t}".encode()).digest()[:6], "little")
                             now = mine & (turn == t)
-                            block[now] = permuted(nth[now] % blocks, blocks, key)
+                            at = nth[now] % blocks
+                            if (t + 1) * blocks > n_slots:  # the round that isn't whole: full blocks first, then short ones in order
+                                at[at < full] = permuted(at[at < full], full, key)
+                            else:
+                                at = permuted(at, blocks, key)
+                            block[now] = at
+                        take[mine & (nth == n_slots - 1)] = last
                     yield pd.DataFrame(
-                        {"mix_name": mix, "shard": shard, "slot": order, "source": np.array(names, object)[which], "round": turn, "block_no": block}
+                        {"mix_name": mix, "shard": shard, "slot": order, "source": np.array(names, object)[which], "round": turn, "block_no": block, "take": take}
                     )
                     place, left, shard = place + draw, left - draw, shard + 1
 
-    frames = [
-        spark.range(n).select(F.lit(m).alias("mix_name"), F.col("id").alias("grp"), F.lit(n).cast("long").alias("n_groups"))
-        for m, n in groups
-    ]
-    schema = "mix_name string, shard long, slot long, source string, round long, block_no long"
-    if not frames:
-        return spark.createDataFrame([], schema)
-    every = frames[0]
-    for f in frames[1:]:
-        every = every.unionByName(f)
-    return every.mapInPandas(run, schema)
-
-
-def _targets(targets: DataFrame, blocks: DataFrame):
-    """{mix: {source: (slots, blocks)}} from the settings and the number of blocks of the sources they name."""
+    schema = "mix_name string, shard long, slot long, source string, round long, block_no long, take int"
+    every = spark.createDataFrame(groups, "mix_name string, n_groups long").select("mix_name", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_groups") - 1)).alias("grp"), "n_groups")
+    parts = max(1, min(sum(n for _, n in groups), 100 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return every.repartition(parts, "mix_name", "grp").mapInPandas(run, schema)
+
+
+def _targets(targets: DataFrame, blocks: DataFrame, block_tokens: int):
+    """(the settings' rows, {source: its tokens, full blocks and the sizes of its short ones}, {mix: {source: as ``plan_slots`` wants it}})."""
     rows = (
         targets.where(F.col("mix_name").isNotNull() & F.col("source").isNotNull())
         .groupBy("mix_name", source_name(F.col("source")).alias("source"))
@@ -208,13 +238,20 @@ def _targets(targets: DataFrame, blocks: DataFrame):
     if len(rows) > 100_000:
         raise ValueError("more than 100,000 mix targets")
     named = targets.select(source_name(F.col("source")).alias("source")).distinct()
-    counts = {r.source: r.n for r in blocks.groupBy("source").agg(F.count(F.lit(1)).alias("n")).join(named, "source", "left_semi").collect()}
+    short = F.when(F.col("n_tokens") < block_tokens, F.struct("block_no", "n_tokens"))
+    held = blocks.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count_if(F.col("n_tokens") == block_tokens).alias("full"), F.collect_list(short).alias("shorts"))
+    # short blocks: one for TAILS shards
+    held = {r.source: (r.tokens, r.full, [x.n_tokens for x in sorted(r.shorts)]) for r in held.join(named, "source", "left_semi").collect()}
     mixes: dict = {}
     for mix in {r.mix_name for r in rows}:
         own = [r for r in rows if r.mix_name == mix]
-        slots = quotas({r.source: r.w for r in own}, counts, {r.source: r.r for r in own})
-        mixes[mix] = {s: (n, counts[s]) for s, n in slots.items() if n}
-    return rows, counts, {m: s for m, s in mixes.items() if s}
+        quota = quotas({r.source: r.w for r in own}, {s: x[0] for s, x in held.items()}, {r.source: r.r for r in own})
+        mixes[mix] = {}
+        for s, q in quota.items():
+            if q:
+                slots, last = slots_of(q, block_tokens, *held[s][1:])
+                mixes[mix][s] = (slots, held[s][1] + len(held[s][2]), held[s][1], last)
+    return rows, held, {m: s for m, s in mixes.items() if s}
 
 
 def mix_sources(docs: DataFrame, targets: DataFrame, *, block_tokens: int = 512, shard_blocks: int = 1024, seed: int = 17, **options) -> DataFrame:
@@ -223,13 +260,18 @@ def mix_sources(docs: DataFrame, targets: DataFrame, *, block_tokens: int = 512,
     Sources are compared without case and surrounding blanks; a source named twice in a mix has the sum of its weights
     and the larger of its max_repeats. Documents without a source, and null and empty texts, add no tokens. A source
     without documents, a positive weight or a positive max_repeats has no slots. A block occurs at most max_repeats
-    times in a mix, in different rounds. Targets are settings: more than 100,000 are refused. Empty tables: no rows.
+    times in a mix, in different rounds; of a source's last slot only the beginning may be taken, so that its tokens are its
+    quota. The rows depend on the documents and the seed, not on how the tables are split. Targets are settings: more than
+    100,000 are refused. Empty tables: no rows.
     """
     blocks = stored_blocks(docs, block_tokens=block_tokens, **options)
-    _, _, mixes = _targets(targets, blocks)
+    _, _, mixes = _targets(targets, blocks, block_tokens)
     slots = plan_slots(docs.sparkSession, mixes, shard_blocks=shard_blocks, seed=seed)
     # the planner can't know how many slots the plan makes; a shuffled join, built on the slots, holds at any number
-    return slots.hint("shuffle_hash").join(blocks, ["source", "block_no"]).select("mix_name", "shard", "slot", "source", "round", "block_no", "n_tokens", "ids")
+    out = slots.hint("shuffle_hash").join(blocks, ["source", "block_no"])
+    cut = F.col("take") >= 0
+    n, ids = F.when(cut, F.col("take")).otherwise(F.col("n_tokens")), F.when(cut, F.slice("ids", F.lit(1), F.greatest("take", F.lit(0)))).otherwise(F.col("ids"))
+    return out.select("mix_name", "shard", "slot", "source", "round", "block_no", n.alias("n_tokens"), ids.alias("ids"))
 
 
 def mix_shares(docs: DataFrame, targets: DataFrame, *, block_tokens: int = 512, seed: int = 17, **options) -> DataFrame:
@@ -239,18 +281,19 @@ def mix_shares(docs: DataFrame, targets: DataFrame, *, block_tokens: int = 512,
     without documents included, share its part of the mix's tokens."""
     spark = docs.sparkSession
     blocks = stored_blocks(docs, block_tokens=block_tokens, **options)
-    rows, counts, mixes = _targets(targets, blocks)
+    rows, held, mixes = _targets(targets, blocks, block_tokens)
     slots = plan_slots(spark, mixes, seed=seed)
-    used = slots.groupBy("mix_name", "source", "block_no").agg(F.count(F.lit(1)).alias("times"))
+    used = slots.groupBy("mix_name", "source", "block_no").agg(F.count(F.lit(1)).alias("times"), F.count_if(F.col("take") < 0).alias("whole"), F.sum(F.greatest("take", F.lit(0))).alias("part"))
     joined = used.hint("shuffle_hash").join(blocks.select("source", "block_no", "n_tokens"), ["source", "block_no"])
     reached = joined.groupBy("mix_name", "source").agg(
-        F.sum(F.col("times") * F.col("n_tokens")).alias("n_tokens"), F.sum("times").alias("n_slots"), F.max("times").alias("most_repeats")
+        F.sum(F.col("whole") * F.col("n_tokens") + F.col("part")).alias("n_tokens"), F.sum("times").alias("n_slots"), F.max("times").alias("most_repeats")
     )
     totals: dict = {}
     for r in rows:
         totals[r.mix_name] = totals.get(r.mix_name, 0) + (r.w or 0)
+    blocks_of = {s: full + len(shorts) for s, (_, full, shorts) in held.items()}
     wanted = spark.createDataFrame(
-        [(r.mix_name, r.source, (r.w or 0) / totals[r.mix_name] if totals[r.mix_name] else None, counts.get(r.source, 0)) for r in rows],
+        [(r.mix_name, r.source, (r.w or 0) / totals[r.mix_name] if totals[r.mix_name] else None, blocks_of.get(r.source, 0)) for r in rows],
         "mix_name string, source string, target_share double, n_blocks long",
     )
     out = wanted.join(reached, ["mix_name", "source"], "left")
