@@ -74,7 +74,7 @@ def test_alignment_expects_every_customer(spark, tmp_path):
     events = [(1, 7, day(15), "view", 1.0), (2, 500, day(3), "view", 1.0), (3, 900, day(20), "view", 1.0), (4, 7, day(2), "view", 1.0)]
     spark.createDataFrame(events, "event_id long, user_id long, ts timestamp, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
     spark.createDataFrame([(k,) for k in (7, 500, 900, 15_000)], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
-    got = {r.user_id: (r.event_id, r.status) for r in reference.QUERIES["alignment_status_all_keys"](spark, str(tmp_path)).collect()}
+    got = {r.user_id: (r.event_id, r.status) for r in reference.QUERIES["alignment_status_expected_keys"](spark, str(tmp_path)).collect()}
     assert got == {7: (1, "AVAILABLE"), 500: (2, "STALE"), 900: (None, "NEVER_OBSERVED"), 15_000: (None, "NEVER_OBSERVED")}
 
 
@@ -83,9 +83,9 @@ def test_coverage_spans_every_day(spark, tmp_path):
 
     data = [(1, 4, dt.datetime(2024, 1, 1), "view", 1.0), (2, 4, dt.datetime(2024, 1, 20), "view", 1.0)]
     spark.createDataFrame(data, "event_id long, user_id long, ts timestamp, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
-    gaps = reference.QUERIES["coverage_gaps_whole"](spark, str(tmp_path)).collect()
+    gaps = reference.QUERIES["coverage_gaps"](spark, str(tmp_path)).collect()
     assert sorted((g.kind, g.duration_ms) for g in gaps) == [("INTERIOR", 19 * reference.DAY - 1_800_000), ("TRAILING", 11 * reference.DAY - 1_800_000)]
-    r = reference.QUERIES["coverage_report_whole"](spark, str(tmp_path)).first()
+    r = reference.QUERIES["coverage_report"](spark, str(tmp_path)).first()
     assert (r.covered_ms, r.gap_count, r.observation_count) == (3_600_000, 2, 2)
 
 
@@ -138,11 +138,11 @@ def test_order_is_carried_over_days_and_hours(spark, tmp_path):
     at = lambda s: dt.datetime(2024, 1, 1, 23, 59, 50) + dt.timedelta(seconds=s)
     marks = [(1, "k", at(0), at(8)), (2, "k", at(5), at(9)), (3, "k", at(4), at(11)), (4, "k", at(4), at(12))]  # reading 3 steps back over midnight
     spark.createDataFrame(marks, "reading_id long, instrument_key string, exchange_timestamp timestamp, local_timestamp timestamp").write.parquet(str(tmp_path / "markprice.parquet"))
-    got = reference.QUERIES["out_of_order_counts_whole"](spark, str(tmp_path)).first()
+    got = reference.QUERIES["out_of_order_counts"](spark, str(tmp_path)).first()
     assert (got.n, got.out_of_order, got.repeated) == (4, 1, 1)
     items = [(i, 3_600_000 * h + ms, None, control) for i, (h, ms, control) in enumerate([(2, 5, False), (0, 7, True), (0, 7, False), (1, 0, False), (2, 4, True)])]
     spark.createDataFrame(items, "item_id long, local_receive_ts long, receive_ns long, is_control boolean").write.parquet(str(tmp_path / "ingest_items.parquet"))
-    got = {r.source_index: r.place for r in reference.QUERIES["replay_total_order_whole"](spark, str(tmp_path)).collect()}
+    got = {r.source_index: r.place for r in reference.QUERIES["replay_total_order"](spark, str(tmp_path)).collect()}
     assert got == {2: 1, 1: 2, 3: 3, 4: 4, 0: 5}
 
 

@@ -33,17 +33,6 @@ def test_adjacent_rows_across_chunks(spark):
             assert got[k, t] == (own[i - 1] if i else None, own[i + 1] if i + 1 < len(own) else None)
 
 
-def test_halo_lends_rows(spark):
-    df = spark.createDataFrame([("a", t, t // 10) for t in range(0, 60, 3)], "k string, t long, c long")
-    lent = neighbours.with_halo(df, ["k"], "c", ["t"], 3)
-    got = {(r.c, r.t) for r in lent.where("halo").collect()}
-    every = list(range(0, 60, 3))
-    for c in {t // 10 for t in every}:
-        own = [t for t in every if t // 10 == c]
-        want = {t for t in [x for x in every if x < own[0]][-3:] + [x for x in every if x > own[-1]][:3]}
-        assert {t for cc, t in got if cc == c} == want
-
-
 # Problem 1
 
 
@@ -184,6 +173,37 @@ def test_consolidation_keeps_records_without_key_of_contained_entries(spark, tmp
     assert {x.file_id: x.reason for x in dropped.collect()} == {3: "unfinished", 1: "contained"}
 
 
+def test_consolidation_keeps_columns_and_what_was_current(spark, tmp_path, monkeypatch):
+    l = spark.createDataFrame([(1, "a", "1.seg", 10, 400), (2, "a", "2.seg", None, None)], "file_id long, stream string, path string, rows long, size_bytes long")
+    cols = "file_id long, row_no int, record_key long, record_ts timestamp, stream string, tags map<string,string>, notes array<string>"
+    r = spark.createDataFrame([(1, 0, 1, ts(5), "x", {"a": "b"}, ["n"]), (2, 0, 1, ts(6), "y", None, None), (2, 1, 2, None, None, {}, [])], cols)
+    out_dir = f"file://{tmp_path}/out"
+    out, _ = consolidation.consolidate(l, r, out_dir)
+    assert sorted(out.columns) == sorted(["stream", "file_id", "row_no", "record_key", "record_ts", "record_stream", "tags", "notes"])
+    assert rows(out, "record_key", "record_stream", "tags", "notes") == [(1, "x", {"a": "b"}, ["n"]), (2, None, {}, [])]
+    first = consolidation.current(spark, out_dir)
+
+    def fails(*_):
+        raise OSError("rename failed")
+
+    monkeypatch.setattr(consolidation, "_switch", fails)
+    with pytest.raises(OSError):
+        consolidation.consolidate(l, r.where("file_id = 1"), out_dir)
+    monkeypatch.undo()
+    assert consolidation.current(spark, out_dir) == first and spark.read.parquet(first).count() == 2
+    with pytest.raises(RuntimeError):
+        consolidation.reconcile(out, out.where("record_key = 1"))
+
+
+def test_contained_entries_that_share_every_rare_key(spark):
+    # every key is held by many entries, so many candidates share an entry's rarest key
+    listing = [(f, "a", f"{f}.seg") for f in range(40)]
+    records = [(f, i, (f + i) % 40) for f in range(40) for i in range(20 if f % 2 else 12)]
+    l = spark.createDataFrame(listing, "file_id long, stream string, path string")
+    r = spark.createDataFrame(records, "file_id long, row_no int, record_key long")
+    assert {x.file_id for x in consolidation.superseded(l, r).collect()} == _contained_brute(listing, records)
+
+
 # Problem 4
 
 

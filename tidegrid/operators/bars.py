@@ -67,11 +67,11 @@ def prefix_sums(trades: DataFrame, *, time_ms: Column, sign: Column, quantity: s
 
 
 def flow_many(trades: DataFrame, points: DataFrame, windows_ms: list[int], *, time_ms: Column, sign: Column, quantity: str, key: str) -> DataFrame:
-    """Trailing flow (T - W, T] at many points (key, at_ms) and windows: replayed once into prefix sums, then two as-of joins."""
+    """Trailing flow (T - W, T] at many points (key, at_ms) and windows: replayed once into prefix sums, whose values at both
+    ends of every window come from one as-of join. A point given twice has one row."""
     sums = prefix_sums(trades, time_ms=time_ms, sign=sign, quantity=quantity, key=key)
-    asked = points.select(key, "at_ms").withColumn("window_ms", F.explode(F.array(*[F.lit(w) for w in windows_ms])))
-    now = asof_join(asked, sums, left_ms=F.col("at_ms"), right_ms=F.col("t"), on=[key], right_cols=["buys", "sells", "n"], time_name="t1")
-    old = sums.select(key, "t", *[F.col(c).alias(f"{c}0") for c in ("buys", "sells", "n")])
-    both = asof_join(now, old, left_ms=F.col("at_ms") - F.col("window_ms"), right_ms=F.col("t"), on=[key], right_cols=["buys0", "sells0", "n0"], time_name="t0")
-    part = lambda c: F.coalesce(c, F.lit(0)) - F.coalesce(f"{c}0", F.lit(0))
-    return both.select(key, "at_ms", "window_ms", part("buys").alias("buy_volume"), part("sells").alias("sell_volume"), part("n").alias("trade_count"))
+    ends = [F.struct(F.lit(w).alias("window_ms"), (F.col("at_ms") - d).alias("end"), F.lit(s).alias("s")) for w in windows_ms for d, s in ((0, 1), (w, -1))]
+    asked = points.select(key, "at_ms").distinct().select(key, "at_ms", F.explode(F.array(*ends)).alias("e")).select(key, "at_ms", "e.*")
+    met = asof_join(asked, sums, left_ms=F.col("end"), right_ms=F.col("t"), on=[key], right_cols=["buys", "sells", "n"], time_name="_met_ms")
+    part = lambda c: F.sum(F.col("s") * F.coalesce(c, F.lit(0)))
+    return met.groupBy(key, "at_ms", "window_ms").agg(part("buys").alias("buy_volume"), part("sells").alias("sell_volume"), part("n").alias("trade_count"))

@@ -8,30 +8,37 @@ from pyspark.sql import functions as F
 from tidegrid.operators.neighbours import chunk_of, with_adjacent
 
 
-def coverage_gaps(observations: DataFrame, windows: DataFrame, *, key: str, time_ms: Column, tolerance_ms: int, chunk_ms: int = 3_600_000) -> DataFrame:
-    """(key, start_ms, end_ms, duration_ms, kind) of each key in windows (key, window_start_ms, window_end_ms; one a key).
+def coverage_gaps(observations: DataFrame, windows: DataFrame | tuple[int, int], *, key: str | None = None, time_ms: Column, tolerance_ms: int, chunk_ms: int = 3_600_000) -> DataFrame:
+    """(key, start_ms, end_ms, duration_ms, kind) of each key in windows (key, window_start_ms, window_end_ms; one a key), or,
+    without a key, of the one window (start, end).
 
     kind: LEADING (starts with the window), INTERIOR, TRAILING (ends with it), ABSENT (no evidence at all). An observation
     before the window still covers the tolerance after it: a gap behind it is INTERIOR, or TRAILING if it never ends.
     Touching intervals merge. Null keys and times are no evidence.
     """
-    seen = observations.where(time_ms.isNotNull() & F.col(key).isNotNull()).select(key, time_ms.alias("t")).join(windows, key)
+    seen = observations.where(time_ms.isNotNull())
+    keys = [] if key is None else [key]
+    if key is None:
+        bounds = [F.lit(t).cast("long").alias(n) for t, n in zip(windows, ("window_start_ms", "window_end_ms"))]
+        seen = seen.select(time_ms.alias("t"), *bounds)
+    else:
+        seen = seen.where(F.col(key).isNotNull()).select(key, time_ms.alias("t")).join(windows, key)
     seen = seen.where((F.col("t") > F.col("window_start_ms") - tolerance_ms) & (F.col("t") < F.col("window_end_ms"))).distinct()
     seen = seen.withColumn("_c", chunk_of(F.col("t"), chunk_ms))
-    near = with_adjacent(seen, [key], "_c", ["t"], "t", prev="before", following="after")
+    near = with_adjacent(seen, keys, "_c", ["t"], "t", prev="before", following="after")
     covered = F.col("t") + tolerance_ms
     until = F.coalesce("after", "window_end_ms")
-    behind = near.where(covered < until).select(
-        key, covered.alias("start_ms"), until.alias("end_ms"), F.when(F.col("after").isNull(), "TRAILING").otherwise("INTERIOR").alias("kind")
-    )
-    ahead = near.where(F.col("before").isNull() & (F.col("t") > F.col("window_start_ms"))).select(
-        key, F.col("window_start_ms").alias("start_ms"), F.col("t").alias("end_ms"), F.lit("LEADING").alias("kind")
-    )
-    absent = windows.join(seen.select(key).distinct(), key, "left_anti").select(
-        key, F.col("window_start_ms").alias("start_ms"), F.col("window_end_ms").alias("end_ms"), F.lit("ABSENT").alias("kind")
-    )
-    every = behind.unionByName(ahead).unionByName(absent)
-    return every.select(key, "start_ms", "end_ms", (F.col("end_ms") - F.col("start_ms")).alias("duration_ms"), "kind")
+    gap = lambda holds, start, end, kind: F.when(holds, F.struct(start.alias("start_ms"), end.alias("end_ms"), kind.alias("kind")))
+    behind = gap(covered < until, covered, until, F.when(F.col("after").isNull(), "TRAILING").otherwise("INTERIOR"))
+    ahead = gap(F.col("before").isNull() & (F.col("t") > F.col("window_start_ms")), F.col("window_start_ms"), F.col("t"), F.lit("LEADING"))
+    found = near.select(*keys, F.explode(F.array_compact(F.array(behind, ahead))).alias("g")).select(*keys, "g.*")
+    if key is None:
+        absent = seen.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(*bounds)
+    else:
+        absent = windows.join(seen.select(key).distinct(), key, "left_anti")
+    absent = absent.select(*keys, F.col("window_start_ms").alias("start_ms"), F.col("window_end_ms").alias("end_ms"), F.lit("ABSENT").alias("kind"))
+    every = found.unionByName(absent)
+    return every.select(*keys, "start_ms", "end_ms", (F.col("end_ms") - F.col("start_ms")).alias("duration_ms"), "kind")
 
 
 def coverage_report(observations: DataFrame, windows: DataFrame, *, key: str, time_ms: Column, tolerance_ms: int) -> DataFrame:

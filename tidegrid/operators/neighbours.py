@@ -16,11 +16,11 @@ def chunk_of(ms: Column, chunk_ms: int) -> Column:
     return F.floor(ms / F.lit(chunk_ms)).cast("long")
 
 
-def with_adjacent(df: DataFrame, keys: list[str], chunk: str, order: list[str], value: str, *, prev: str | None = None, following: str | None = None, unless: list[str] = ()) -> DataFrame:
+def with_adjacent(df: DataFrame, keys: list[str], chunk: str, order: list[str], value: str, *, prev: str | None = None, following: str | None = None) -> DataFrame:
     """df with the value of the row before (column ``prev``) and after (``following``) in the group ``keys``.
 
-    Order columns must have no nulls and rise with the chunk. ``unless``: a part of keys + chunk already leading the
-    layout needs no mention. The first row of a group has a null ``prev``, the last a null ``following``.
+    Order columns must have no nulls and rise with the chunk. The first row of a group has a null ``prev``, the last a null
+    ``following``.
     """
     own = Window.partitionBy(*keys, chunk).orderBy(*order)
     groups = Window.partitionBy(*keys).orderBy(chunk)
@@ -35,30 +35,3 @@ def with_adjacent(df: DataFrame, keys: list[str], chunk: str, order: list[str],
     if following:
         out = out.withColumn(following, F.coalesce(F.lead(value).over(own), "_next"))
     return out.drop("_prev", "_next")
-
-
-def with_halo(df: DataFrame, keys: list[str], chunk: str, order: list[str], size: int) -> DataFrame:
-    """Rows of each chunk together with the ``size`` rows before and after it in its group.
-
-    Column ``halo``: false for a chunk's own rows, true for those lent by other chunks (with the chunk they are lent to).
-    Each chunk lends at most 2 * size rows to its neighbours, so the rows grow by a bounded share.
-    """
-    columns = df.columns
-    own = Window.partitionBy(*keys, chunk)
-    ranked = df.withColumn("_n", F.row_number().over(own.orderBy(*order))).withColumn(
-        "_m", F.row_number().over(own.orderBy(*[F.col(c).desc() for c in order]))
-    )
-    row = F.struct(*[c for c in columns])
-    edge = ranked.where((F.col("_n") <= size) | (F.col("_m") <= size)).groupBy(*keys, chunk).agg(
-        F.array_sort(F.collect_list(F.when(F.col("_n") <= size, F.struct(*order, row.alias("r"))))).alias("head"),
-        F.array_sort(F.collect_list(F.when(F.col("_m") <= size, F.struct(*order, row.alias("r"))))).alias("tail"),
-    )
-    near = Window.partitionBy(*keys).orderBy(chunk)
-    lent = edge.select(
-        *keys,
-        chunk,
-        F.slice(F.reverse(F.flatten(F.collect_list("tail").over(near.rowsBetween(-size, -1)))), 1, size).alias("a"),
-        F.slice(F.flatten(F.collect_list("head").over(near.rowsBetween(1, size))), 1, size).alias("b"),
-    ).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(chunk).alias("_c"), F.explode(F.concat("a", "b")).alias("e"))
-    halo = lent.select(*[F.col("_c").alias(c) if c == chunk else F.col("e.r")[c].alias(c) for c in columns], F.lit(True).alias("halo"))
-    return df.withColumn("halo", F.lit(False)).unionByName(halo)

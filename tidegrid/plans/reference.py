@@ -17,7 +17,6 @@ QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 HOUR, DAY = 3_600_000, 86_400_000
 T0 = 1_704_067_200_000  # 2024-01-01, where the events begin
-DAY1 = T0 + DAY
 AT = T0 + 15 * DAY
 
 
@@ -102,31 +101,31 @@ from k left join bar on k.grid_ts = bar.grid_ts""")
 def aligned_dataset_day(spark, d):
     """The assembled dataset in one plan: a grid, two as-of joins with staleness, bars, flags and evidence."""
     e = events(spark, d)
-    out = asof.fixed_grid(spark, T0, T0 + 30 * DAY, HOUR)
-    for kind, name, tolerance in (("view", "mark", 1_800_000), ("signup", "interest", 7_200_000)):
-        right = e.where(F.col("event_type") == kind).select("t", "event_id", F.col("value").alias(name))
-        out = asof.asof_join(
-            out, right, left_ms=F.col("grid_ts"), right_ms=F.col("t"), right_cols=[name], seq=["event_id"], tolerance_ms=tolerance, time_name=f"{name}_ms", chunk_ms=DAY
-        )
+    of = lambda kind, name: e.where(F.col("event_type") == kind).select("t", "event_id", F.col("value").alias(name))
+    sides = [
+        asof.Side(of("view", "mark"), F.col("t"), ["mark"], "mark_ms", ["event_id"], 1_800_000),
+        asof.Side(of("signup", "interest"), F.col("t"), ["interest"], "interest_ms", ["event_id"], 7_200_000),
+        asof.Side(_evidence_gaps(e), F.col("start_ms"), ["end_ms"], "gap_ms"),
+    ]
+    out = asof.asof_joins(asof.fixed_grid(spark, T0, T0 + 30 * DAY, HOUR), sides, left_ms=F.col("grid_ts"), chunk_ms=DAY)
+    out = out.withColumn("bin_observed", asof.unmet(F.col("end_ms"), F.col("grid_ts"), HOUR)).withColumn("spike_flag", F.coalesce(F.col("mark") > 50, F.lit(False)))
+    for name in ("mark", "interest"):
         out = out.withColumn(f"{name}_gap", F.col(f"{name}_ms").isNull()).drop(f"{name}_ms")
-    out = out.withColumn("spike_flag", F.coalesce(F.col("mark") > 50, F.lit(False)))
-    out = out.join(_bars(spark, d).drop("net_volume", "imbalance"), "grid_ts", "left")
+    out = out.join(_bars(spark, d).drop("net_volume", "imbalance"), "grid_ts", "left").drop("end_ms", "gap_ms")
     for c in ("trade_count", "buy_volume", "sell_volume"):
         out = out.withColumn(c, F.coalesce(c, F.lit(0)))
-    trades = e.where("event_type in ('purchase', 'error', 'click')").withColumn("k", F.lit(0))
-    window = spark.range(1).select(F.lit(0).alias("k"), F.lit(T0).cast("long").alias("window_start_ms"), F.lit(T0 + 30 * DAY).cast("long").alias("window_end_ms"))
-    gaps = coverage.coverage_gaps(trades, window, key="k", time_ms=F.col("t"), tolerance_ms=900_000, chunk_ms=DAY)
-    out = asof.bins_observed(out, gaps, bin_end="grid_ts", grid_ms=HOUR)
-    return out.withColumnRenamed("observed", "bin_observed").withColumn("vwap", F.round("vwap", 7))
+    return out.withColumn("vwap", F.round("vwap", 7))
+
+
+def _evidence_gaps(e):
+    trades = e.where("event_type in ('purchase', 'error', 'click')")
+    return coverage.coverage_gaps(trades, (T0, T0 + 30 * DAY), time_ms=F.col("t"), tolerance_ms=900_000, chunk_ms=DAY)
 
 
 @case(f"""with {EV}, {OBSERVED}, g as (select unnest(range({T0}, {T0 + 30 * DAY}, 1800000)) grid_ts)
 select grid_ts, not exists (select 1 from gap where a <= grid_ts and b > grid_ts - 1800000 + 1) as observed from g""")
 def bin_observed(spark, d):
-    trades = events(spark, d).where("event_type in ('purchase', 'error', 'click')").withColumn("k", F.lit(0))
-    window = spark.range(1).select(F.lit(0).alias("k"), F.lit(T0).cast("long").alias("window_start_ms"), F.lit(T0 + 30 * DAY).cast("long").alias("window_end_ms"))
-    gaps = coverage.coverage_gaps(trades, window, key="k", time_ms=F.col("t"), tolerance_ms=900_000, chunk_ms=DAY)
-    return asof.bins_observed(asof.fixed_grid(spark, T0, T0 + 30 * DAY, 1_800_000), gaps, bin_end="grid_ts", grid_ms=1_800_000)
+    return asof.bins_observed(asof.fixed_grid(spark, T0, T0 + 30 * DAY, 1_800_000), _evidence_gaps(events(spark, d)), bin_end="grid_ts", grid_ms=1_800_000)
 
 
 @case("""select book_id, coalesce(spread > 1.0, false) as spread_spike_flag,
@@ -155,17 +154,15 @@ gap as (select venue, t + 1800000 start_ms, coalesce(nx, {start + length}) end_m
  union all select venue, {start}, {start + length}, 'ABSENT' from w where venue not in (select venue from o))"""
 
 
-COVER = _cover(DAY1, DAY)
-
-
-def _windows(e, start=DAY1, length=DAY):
+def _windows(e, start, length):
     return e.select("venue").distinct().select("venue", F.lit(start).cast("long").alias("window_start_ms"), F.lit(start + length).cast("long").alias("window_end_ms"))
 
 
-@case(f"with {COVER} select venue, start_ms, end_ms, end_ms - start_ms as duration_ms, kind from gap")
+@case(f"with {_cover(T0, 30 * DAY)} select venue, start_ms, end_ms, end_ms - start_ms as duration_ms, kind from gap")
 def coverage_gaps(spark, d):
+    """Gaps of every venue over all days of the events."""
     e = events(spark, d)
-    return coverage.coverage_gaps(e, _windows(e), key="venue", time_ms=F.col("t"), tolerance_ms=1_800_000)
+    return coverage.coverage_gaps(e, _windows(e, T0, 30 * DAY), key="venue", time_ms=F.col("t"), tolerance_ms=1_800_000)
 
 
 def _report(start: int, length: int) -> str:
@@ -178,43 +175,17 @@ select w.venue, {length} - coalesce(m, 0) as covered_ms, coalesce(m, 0) as missi
 from w left join l using (venue) left join k using (venue)"""
 
 
-@case(_report(DAY1, DAY))
-def coverage_report(spark, d):
-    e = events(spark, d)
-    return coverage.coverage_report(e, _windows(e), key="venue", time_ms=F.col("t"), tolerance_ms=1_800_000)
-
-
-@case(f"with {_cover(T0, 30 * DAY)} select venue, start_ms, end_ms, end_ms - start_ms as duration_ms, kind from gap")
-def coverage_gaps_whole(spark, d):
-    """``coverage_gaps`` over all days of the events."""
-    e = events(spark, d)
-    return coverage.coverage_gaps(e, _windows(e, T0, 30 * DAY), key="venue", time_ms=F.col("t"), tolerance_ms=1_800_000)
-
-
 @case(_report(T0, 30 * DAY))
-def coverage_report_whole(spark, d):
-    """``coverage_report`` over all days of the events."""
+def coverage_report(spark, d):
     e = events(spark, d)
     return coverage.coverage_report(e, _windows(e, T0, 30 * DAY), key="venue", time_ms=F.col("t"), tolerance_ms=1_800_000)
 
 
-@case("""with o as (select instrument_key, reading_id, epoch_ms(exchange_timestamp) t, epoch_ms(local_timestamp) // 86400000 c from markprice where instrument_key is not null and local_timestamp is not null),
-l as (select *, lag(t) over (partition by instrument_key, c order by reading_id) p from o where t is not null)
-select instrument_key, count(*) as n, count(*) filter (where t < p) as out_of_order, count(*) filter (where t = p) as repeated from l group by 1""")
-def out_of_order_counts(spark, d):
-    m = read_table(spark, d, "markprice").where("instrument_key is not null and local_timestamp is not null")
-    rows = m.select("instrument_key", "reading_id", epoch_ms(F.col("exchange_timestamp")).alias("t"), F.floor(epoch_ms(F.col("local_timestamp")) / DAY).alias("c")).where("t is not null")
-    p = F.lag("t").over(Window.partitionBy("instrument_key", "c").orderBy("reading_id"))
-    return rows.withColumn("p", p).groupBy("instrument_key").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("t") < F.col("p")).alias("out_of_order"), F.count_if(F.col("t") == F.col("p")).alias("repeated")
-    )
-
-
 @case("""with o as (select instrument_key, reading_id, epoch_ms(exchange_timestamp) t, epoch_ms(local_timestamp) // 86400000 c from markprice where instrument_key is not null and local_timestamp is not null),
 l as (select *, lag(t) over (partition by instrument_key order by c, reading_id) p from o where t is not null)
 select instrument_key, count(*) as n, count(*) filter (where t < p) as out_of_order, count(*) filter (where t = p) as repeated from l group by 1""")
-def out_of_order_counts_whole(spark, d):
-    """``out_of_order_counts`` with the last reading of a day carried to the next."""
+def out_of_order_counts(spark, d):
+    """Readings that step back against the one before; the last reading of a day is carried to the next."""
     m = read_table(spark, d, "markprice").where("instrument_key is not null and local_timestamp is not null")
     rows = m.select("instrument_key", "reading_id", epoch_ms(F.col("exchange_timestamp")).alias("t"), F.floor(epoch_ms(F.col("local_timestamp")) / DAY).alias("c")).where("t is not null")
     return with_adjacent(rows, ["instrument_key"], "c", ["reading_id"], "t", prev="p").groupBy("instrument_key").agg(
@@ -322,19 +293,11 @@ def latest_per_key_at_t(spark, d):
     return asof.latest_per_key(events(spark, d), AT, keys=["user_id"], time_ms=F.col("t"), seq=["event_id"], value_cols=["event_id"], staleness_ms=DAY)
 
 
-@case(f"""with {EV}, {LATEST}, w as (select c_custkey user_id from customer where c_custkey <= 400)
-select user_id, event_id, last_ms, {AT} - last_ms as age_ms, case when last_ms is null then 'NEVER_OBSERVED' when {AT} - last_ms <= {DAY} then 'AVAILABLE' else 'STALE' end as status
-from n full join w using (user_id)""")
-def alignment_status_expected_keys(spark, d):
-    expected = read_table(spark, d, "customer").where("c_custkey <= 400").select(F.col("c_custkey").alias("user_id"))
-    return asof.latest_per_key(events(spark, d), AT, keys=["user_id"], time_ms=F.col("t"), seq=["event_id"], value_cols=["event_id"], staleness_ms=DAY, expected=expected)
-
-
 @case(f"""with {EV}, {LATEST}, w as (select c_custkey user_id from customer)
 select user_id, event_id, last_ms, {AT} - last_ms as age_ms, case when last_ms is null then 'NEVER_OBSERVED' when {AT} - last_ms <= {DAY} then 'AVAILABLE' else 'STALE' end as status
 from n full join w using (user_id)""")
-def alignment_status_all_keys(spark, d):
-    """``alignment_status_expected_keys`` with every customer expected."""
+def alignment_status_expected_keys(spark, d):
+    """Every customer is expected."""
     expected = read_table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
     return asof.latest_per_key(events(spark, d), AT, keys=["user_id"], time_ms=F.col("t"), seq=["event_id"], value_cols=["event_id"], staleness_ms=DAY, expected=expected)
 
@@ -396,10 +359,11 @@ select instrument_key, max(case r when 1 then funding_rate end) as newest, max(c
  round(max(case r when 1 then funding_rate end) - max(case r when 2 then funding_rate end), 9) as change from o where r <= 2 group by 1""")
 def last_two_change(spark, d):
     o = read_table(spark, d, "markprice").where("instrument_key is not null and local_timestamp is not null and funding_rate is not null and not isnan(funding_rate)")
-    place = F.struct("local_timestamp", "reading_id", "funding_rate")
-    top = o.groupBy("instrument_key").agg(F.max(place).alias("a"))
-    second = o.join(top, "instrument_key").where(place < F.col("a")).groupBy("instrument_key").agg(F.max(place).alias("b"))
-    out = top.join(second, "instrument_key", "left")
+    # ranked with a limit the planner applies before the shuffle, so a key sends two rows a task
+    rank = F.row_number().over(Window.partitionBy("instrument_key").orderBy(F.desc("local_timestamp"), F.desc("reading_id")))
+    top = o.select("instrument_key", "funding_rate", rank.alias("r")).where("r <= 2")
+    pick = lambda r: F.max(F.when(F.col("r") == r, F.struct("funding_rate")))
+    out = top.groupBy("instrument_key").agg(pick(1).alias("a"), pick(2).alias("b"))
     return out.select("instrument_key", F.col("a.funding_rate").alias("newest"), F.col("b.funding_rate").alias("earlier"), F.round(F.col("a.funding_rate") - F.col("b.funding_rate"), 9).alias("change"))
 
 
@@ -657,24 +621,11 @@ def depth_frames(spark, d):
     return normalize.depth(read_table(spark, d, "ingest_items").select(F.col("item_id").alias("frame_id"), F.col("msg").alias("payload")))
 
 
-@case("""with w as (select local_receive_ts ts_ms, 0 kind_rank, coalesce(receive_ns, -1) ns, item_id source_index from ingest_items where local_receive_ts is not null and not is_control),
-r as (select local_receive_ts, 1, coalesce(receive_ns, -1), item_id from ingest_items where local_receive_ts is not null and is_control),
-u as (select * from w union all select * from r)
-select source_index, row_number() over (partition by ts_ms // 3600000 order by ts_ms, kind_rank, ns, source_index) as place from u""")
-def replay_total_order(spark, d):
-    i = read_table(spark, d, "ingest_items").where("local_receive_ts is not null").select(
-        F.col("local_receive_ts").alias("ts_ms"), F.col("receive_ns").alias("ns"), F.col("item_id").alias("source_index"), "is_control"
-    )
-    log = replay.merged_log(i.where("not is_control"), i.where("is_control"))
-    w = Window.partitionBy(F.floor(F.col("ts_ms") / HOUR)).orderBy(*replay.ORDER)
-    return log.select("source_index", F.row_number().over(w).alias("place"))
-
-
 @case("""with w as (select local_receive_ts ts_ms, case when is_control then 1 else 0 end kind_rank, coalesce(receive_ns, -1) ns, item_id source_index from ingest_items
  where local_receive_ts is not null and is_control is not null)
 select source_index, row_number() over (order by ts_ms, kind_rank, ns, source_index) as place from w""")
-def replay_total_order_whole(spark, d):
-    """``replay_total_order`` over the whole log: places within an hour, raised by the rows of the hours before."""
+def replay_total_order(spark, d):
+    """Places in the whole log: places within an hour, raised by the rows of the hours before."""
     i = read_table(spark, d, "ingest_items").where("local_receive_ts is not null").select(
         F.col("local_receive_ts").alias("ts_ms"), F.col("receive_ns").alias("ns"), F.col("item_id").alias("source_index"), "is_control"
     )

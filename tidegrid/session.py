@@ -17,10 +17,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a fresh temporary folder is chosen and set.
+    Only where the setting is absent and the master is local (tests on one machine) a fresh temporary folder is chosen and
+    set; on a cluster a missing setting is an error, as every machine would write to its own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         configured = "file://" + tempfile.mkdtemp(prefix="tidegrid-shared-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
@@ -39,9 +42,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    discard_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table when the driver ends; ``release_scratch`` does so earlier."""
+    fs, hpath = hadoop_fs(spark, path)
+    fs.deleteOnExit(hpath(path))
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables in the shared folder. Results that still read them can't be read afterwards."""
+    root = f"{shared_dir(spark)}/tidegrid"
+    fs, hpath = hadoop_fs(spark, root)
+    fs.delete(hpath(root), True)
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """(file system, Path class) of a path, for listing and renaming on whatever storage holds it."""
     jvm = spark.sparkContext._jvm
