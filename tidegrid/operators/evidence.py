@@ -69,20 +69,28 @@ def segment_distances(df: DataFrame, *, identity: list[str], segment: str) -> Da
     return owners.withColumn("d", d).where("d is not null").groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def set_digest(df: DataFrame, *, by: list[str], key: Column, buckets: int = 256) -> DataFrame:
-    """(by, n_keys, digest): order-independent digest of each group's set of keys, in two levels.
+def set_digest(df: DataFrame, *, by: list[str], key: Column, leaf: int = 4096, fan: int = 256) -> DataFrame:
+    """(by, n_keys, digest): order-independent digest of each group's set of keys, as a tree.
 
-    Distinct keys fall into ``buckets`` by hash; a bucket's digest is the SHA-256 of its sorted, length-framed keys, the
-    group's that of its buckets' in order. So a group of any size is digested by many tasks.
+    Distinct keys fall by hash into as many leaves as the group's number of keys asks for, about ``leaf`` keys each; a leaf's
+    digest is the SHA-256 of its sorted, length-framed keys, a node's that of its ``fan`` children's in order. So no row holds
+    more than a leaf's keys or a node's digests, whatever the group's size.
     """
     keys = df.select(*by, key.alias("_k")).where("_k is not null").distinct()
+    counts = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("n_keys"))
+    most = counts.agg(F.max("n_keys")).first()[0] or 0
+    leaves = F.greatest(F.ceil(F.col("n_keys") / leaf), F.lit(1))
+    match = [F.col(f"k.{c}").eqNullSafe(F.col(f"c.{c}")) for c in by]
     framed = F.concat(F.octet_length("_k").cast("string"), F.lit(":"), F.col("_k"))
-    level = keys.groupBy(*by, F.pmod(F.xxhash64("_k"), F.lit(buckets)).alias("_b")).agg(
-        F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list(framed)), ""), 256).alias("d")
-    )
-    return level.groupBy(*by).agg(
-        F.sum("n").alias("n_keys"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_b", "d"))), lambda x: x["d"]), ""), 256).alias("digest")
-    )
+    every = keys.alias("k").join(counts.alias("c"), match, "inner").select("k.*", "c.n_keys").withColumn("_b", F.pmod(F.xxhash64("_k"), leaves))
+    level = every.groupBy(*by, "n_keys", "_b").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(framed)), ""), 256).alias("d"))
+    width = max(1, -(-most // leaf))
+    while True:
+        inner = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_b", "d"))), lambda x: x["d"]), ""), 256)
+        level = level.withColumn("_up", F.floor(F.col("_b") / fan)).groupBy(*by, "n_keys", "_up").agg(inner.alias("d")).withColumnRenamed("_up", "_b")
+        width = -(-width // fan)
+        if width == 1:
+            return level.select(*by, "n_keys", F.col("d").alias("digest"))
 
 
 def index_audit(on_disk: DataFrame, index: DataFrame, *, key: str, digest: str) -> DataFrame:

@@ -21,9 +21,12 @@ def order_ties(wire: DataFrame, rest: DataFrame) -> DataFrame:
     return w.join(rest.groupBy("ts_ms").agg(F.count(F.lit(1)).alias("rest_frames")), "ts_ms")
 
 
-def output_digest(df: DataFrame, *, by: list[str], order: list[str], columns: list[str], chunk: str) -> DataFrame:
-    """(by, digest): SHA-256 over the ordered rows of each group, chunk by chunk, then over the chunks in order."""
-    row = F.to_json(F.struct(*columns))
-    parts = df.groupBy(*by, chunk).agg(F.array_sort(F.collect_list(F.struct(*order, row.alias("_r")))).alias("a"))
-    parts = parts.select(*by, chunk, F.sha2(F.array_join(F.transform("a", lambda x: x["_r"]), "\n"), 256).alias("d"))
-    return parts.groupBy(*by).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(chunk, "d"))), lambda x: x["d"]), ""), 256).alias("digest"))
+def output_digest(df: DataFrame, *, by: list[str], order: list[str], columns: list[str], chunk: str, fan: int = 256) -> DataFrame:
+    """(by, digest): SHA-256 over the ordered rows of each group, chunk by chunk, then over groups of ``fan`` chunks in order, then
+    over those. Chunks hold digests of rows, not rows; how many is the caller's choice of chunk."""
+    row = F.sha2(F.to_json(F.struct(*columns)), 256)
+    rows = df.select(*by, F.col(chunk).alias("_c"), F.struct(*order, row.alias("_r")).alias("_x"))
+    parts = rows.groupBy(*by, "_c").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("_x")), lambda x: x["_r"]), ""), 256).alias("d"))
+    joined = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_c", "d"))), lambda x: x["d"]), ""), 256).alias("d")
+    parts = parts.withColumn("_g", F.floor(F.col("_c") / fan)).groupBy(*by, "_g").agg(joined).withColumnRenamed("_g", "_c")
+    return parts.groupBy(*by).agg(joined.alias("digest"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegrid.session import materialize
+
 HORIZONS_S = (1, 5, 15, 60, 300)
 
 
@@ -60,27 +62,38 @@ def split_manifest(dates: list, *, horizon_s: int = 300, embargo_days: int = 1,
     return parts | {"required_purge": required, "gap": gap, "leakage_safe": safe}
 
 
-def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
+def column_stats(df: DataFrame, columns: list[str], *, values_per_part: int = 500_000) -> DataFrame:
     """One row per numeric or boolean column: mean, std (sample), min, max, p01, p99 (interpolated), count, null_count.
 
-    One pass over the data. NaN counts as null. Percentiles are exact; their buffers hold a count per distinct value.
+    NaN counts as null. Percentiles are exact: distinct values are counted, range-partitioned by column and value, and the
+    values at the wanted ranks are found by counts carried over the partitions, so no column is gathered in one place.
     """
-    measures = []
-    for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        x = F.when(~F.isnan(x), x)
-        measures += [
-            F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"std_{i}"), F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}"),
-            F.percentile(x, F.array(F.lit(0.01), F.lit(0.99))).alias(f"p_{i}"), F.count(x).alias(f"count_{i}"), F.count_if(x.isNull()).alias(f"null_{i}"),
-        ]
-    rows = F.array(*[
-        F.struct(
-            F.lit(c).alias("column_name"), F.col(f"mean_{i}").alias("mean"), F.col(f"std_{i}").alias("std"), F.col(f"min_{i}").alias("min"), F.col(f"max_{i}").alias("max"),
-            F.col(f"p_{i}")[0].alias("p01"), F.col(f"p_{i}")[1].alias("p99"), F.col(f"count_{i}").alias("count"), F.col(f"null_{i}").alias("null_count"),
-        )
-        for i, c in enumerate(columns)
-    ])
-    return df.agg(*measures).select(F.explode(rows).alias("r")).select("r.*")
+    spark = df.sparkSession
+    number = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), number(c).alias("v")) for c in columns])
+    values = df.select(F.explode(pairs).alias("p")).select("p.column_name", "p.v")
+    names = spark.createDataFrame([(c,) for c in columns], "column_name string")
+    stats = values.groupBy("column_name").agg(
+        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"), F.count("v").alias("count"), F.count_if(F.col("v").isNull()).alias("null_count")
+    )
+    counted = materialize(values.where("v is not null").groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c")), "counted-values")
+    parts = max(1, -(-counted.count() // values_per_part))
+    placed = materialize(counted.repartitionByRange(parts, "column_name", "v").withColumn("part", F.spark_partition_id()), "ranked-values")
+    sums = placed.groupBy("column_name", "part").agg(F.sum("c").alias("s"))
+    before = F.sum("s").over(Window.partitionBy("column_name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select("column_name", "part", F.coalesce(before, F.lit(0)).alias("before"), F.sum("s").over(Window.partitionBy("column_name")).alias("n"))
+    upto = F.sum("c").over(Window.partitionBy("column_name", "part").orderBy("v"))
+    ranked = placed.withColumn("upto", upto).join(sums, ["column_name", "part"]).withColumn("high", F.col("before") + F.col("upto"))
+    at = lambda p: F.lit(p) * (F.col("n") - 1)
+    holds = lambda rank: (F.col("high") > rank) & (F.col("high") - F.col("c") <= rank)
+    picks = [F.max(F.when(holds(f(at(p))), F.col("v"))).alias(f"{n}{i}") for n, p in (("p01", 0.01), ("p99", 0.99)) for i, f in enumerate((F.floor, F.ceil))]
+    found = ranked.groupBy("column_name").agg(*picks, F.max("n").alias("n"))
+    part = lambda p: at(p) - F.floor(at(p))
+    value = lambda n, p: (F.col(f"{n}0") + (F.col(f"{n}1") - F.col(f"{n}0")) * part(p)).alias(n)
+    found = found.select("column_name", value("p01", 0.01), value("p99", 0.99))
+    out = names.join(stats, "column_name", "left").join(found, "column_name", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return out.select("column_name", "mean", "std", "min", "max", "p01", "p99", zero("count"), zero("null_count"))
 
 
 def validity_reason(*rules: tuple[str, Column]) -> Column:

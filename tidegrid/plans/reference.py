@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from tidegrid.functions import book as B
 from tidegrid.functions import exact
 from tidegrid.functions.clock import ceil_grid, coerce_ms, epoch_ms, purge_days
-from tidegrid.operators import asof, bars, coverage, evidence, orderbook, replay, research
+from tidegrid.operators import assembly, asof, bars, coverage, evidence, orderbook, replay, research, validation
 from tidegrid.operators.neighbours import with_adjacent
 from tidegrid.session import read_table
-from tidegrid.sources import normalize, segments
+from tidegrid.sources import normalize, publication, segments
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -616,9 +616,39 @@ def frame_routing(spark, d):
     return read_table(spark, d, "ingest_items").select("item_id", normalize.route("msg").alias("kind")).withColumn("kind", F.coalesce("kind", F.lit("undecodable")))
 
 
-@case()
+_LEVELS = "list_aggregate(list_transform({0}, lambda x: concat(x[1], ':', x[2])), 'string_agg', ',')"
+
+
+@case("""with m as (select item_id, case when json_valid(msg) and trim(msg) like '{%' then msg end msg from ingest_items), d as (select item_id, coalesce(msg -> '$.data', msg::json) d, msg from m where msg is not null),
+k as (select *, d ->> '$.lastUpdateId' is not null or msg ->> '$.lastUpdateId' is not null snap, coalesce(msg ->> '$.data.e', msg ->> '$.e') = 'depthUpdate' dep from d)
+select item_id as frame_id, snap as is_snapshot, try_cast(case when snap then d ->> '$.lastUpdateId' else d ->> '$.u' end as bigint) as update_id, try_cast(d ->> '$.U' as bigint) as first_id,
+ try_cast(d ->> '$.pu' as bigint) as prev_id, """ + ", ".join(
+    _LEVELS.format(f"try_cast(coalesce(d -> '$.{x}', d -> '$.{x[0]}') as varchar[][])") + f" as {x}" for x in ("bids", "asks")
+) + """, try_cast(d ->> '$.E' as bigint) as exchange_ms from k where snap or dep""")
 def depth_frames(spark, d):
-    return normalize.depth(read_table(spark, d, "ingest_items").select(F.col("item_id").alias("frame_id"), F.col("msg").alias("payload")))
+    """Frames of the wire payloads for the book fold; each side's levels as one text."""
+    out = normalize.depth(read_table(spark, d, "ingest_items").select(F.col("item_id").alias("frame_id"), F.col("msg").alias("payload")))
+    text = lambda c: F.nullif(F.array_join(F.transform(c, lambda x: F.concat(x[0], F.lit(":"), x[1])), ","), F.lit(""))
+    return out.withColumn("bids", text("bids")).withColumn("asks", text("asks"))
+
+
+@case("""with f as (select item_id, venue, coalesce(msg ->> '$.data.s', msg ->> '$.s') s, try_cast(msg ->> '$.u' as bigint) u, try_cast(msg ->> '$.U' as bigint) f, try_cast(msg ->> '$.pu' as bigint) p
+ from ingest_items where json_valid(msg) and trim(msg) like '{%' and msg ->> '$.e' = 'depthUpdate'), k as (select * from f where s is not null and venue is not null),
+l as (select *, lag(u) over (partition by venue, s order by item_id) b from k)
+select item_id, case when venue = 'OKX' then case when p = -1 then 'continue' when b is null or p is distinct from b then 'gap' else 'continue' end when b is null then 'continue' when u is null then 'gap'
+ when venue = 'BYBIT' then case when u < b then 'resync' when u = b then 'stale' else 'continue' end when u <= b then 'stale' when p is null or p <> b then 'gap' else 'continue' end as verdict,
+ case when venue = 'OKX' then case when p = -1 then null when b is null then 'missing_snapshot' when p is distinct from b then 'prev_seq_id_mismatch' end when b is null then null when u is null then 'update_id_missing'
+ when u < b then case when venue = 'BYBIT' then 'update_id_decrease_or_reset' else 'stale_update' end when u = b then 'duplicate_update' when venue = 'BYBIT' then null
+ when p is null then 'pu_missing' when p <> b then 'pu_mismatch' end as reason from l""")
+def depth_continuity(spark, d):
+    """Every depth update against the one before it of its venue and symbol, by the venue's rule."""
+    g = lambda p: F.get_json_object("msg", p)
+    i = read_table(spark, d, "ingest_items").where(F.try_parse_json("msg").isNotNull() & F.trim("msg").startswith("{")).where(g("$.e") == "depthUpdate")
+    long = lambda p: g(p).try_cast("long")
+    i = i.select("item_id", "venue", g("$.s").alias("s"), long("$.u").alias("u"), long("$.U").alias("f"), long("$.pu").alias("p")).where("s is not null and venue is not null")
+    near = with_adjacent(i.withColumn("c", F.floor(F.col("item_id") / 50_000)), ["venue", "s"], "c", ["item_id"], "u", prev="b")
+    v = validation.continuity(F.col("venue"), F.col("u"), F.col("f"), F.col("p"), F.col("b"))
+    return near.select("item_id", v.alias("v")).select("item_id", "v.verdict", "v.reason")
 
 
 @case("""with w as (select local_receive_ts ts_ms, case when is_control then 1 else 0 end kind_rank, coalesce(receive_ns, -1) ns, item_id source_index from ingest_items
@@ -678,11 +708,120 @@ def missing_hours(spark, d):
     return out.withColumn("date", F.col("date").cast("string"))
 
 
-@case()
+_NAMES = f"""n as (select file_id, stream, path, size_bytes, regexp_extract({FILES}, '^(\\d{{4}}-\\d{{2}}-\\d{{2}})-(\\d{{2}})(-\\d{{6}}\\.seg|\\.parquet)$', ['d', 'h', 'x']) s, regexp_extract(path, '([^/\\\\]+)[/\\\\][^/\\\\]+$', 1) folder from hour_sources),
+p as (select file_id, stream, folder, path, size_bytes, try_cast(nullif(s.d, '') as date) as date, try_cast(nullif(s.h, '') as int) as hour, case when s.x like '%seg' then 'segment' when s.x = '.parquet' then 'hourly' end as kind from n)"""
+
+
+@case(f"""with {_NAMES}, b as (select *, count(distinct kind) over (partition by stream, date, hour) k from p where kind is not null)
+select file_id, stream, strftime(date, '%Y-%m-%d') as date, hour, kind from b where k = 1 or kind = 'segment'""")
 def segment_resolution(spark, d):
-    return segments.resolve(_entries(spark, d), on_collision="prefer_segments").select("file_id", "stream", "date", "hour", "kind")
+    out = segments.resolve(_entries(spark, d), on_collision="prefer_segments").select("file_id", "stream", "date", "hour", "kind")
+    return out.withColumn("date", F.col("date").cast("string"))
 
 
-@case()
+@case(f"""with {_NAMES}, m as (select *, path like '%.meta.json' meta from p), k as (select folder, date, hour, count(distinct kind) kinds from m where not coalesce(meta, false) and kind is not null group by all),
+x as (select m.*, k.kinds from m left join k on m.folder = k.folder and m.date = k.date and m.hour = k.hour where not coalesce(meta, false))
+select file_id, case when kind is null or coalesce(size_bytes = 0, false) then 'INVALID' when kinds > 1 then 'AMBIGUOUS' when kind = 'hourly' then 'LEGACY'
+ when exists (select 1 from m y where y.meta and y.path = x.path || '.meta.json') then 'MARKED' else 'UNMARKED' end as trust from x""")
 def source_catalog(spark, d):
-    return segments.catalog(spark, d).groupBy("trust").agg(F.count(F.lit(1)).alias("n"))
+    """Every listed file with how far it may be trusted before it is opened."""
+    return segments.trust(read_table(spark, d, "hour_sources").drop("stream", "hour")).select("file_id", "trust")
+
+
+@case("""with f as (select * from hour_sources where path like '%.seg' or path like '%.parquet'), r as (select file_id, path, coalesce(rows, 0) n, coalesce(size_bytes, 0) b, min_ts_ms a, max_ts_ms z from f)
+select path as segment, concat('{"first_record_ts":', coalesce(a::varchar, 'null'), ',"last_record_ts":', coalesce(z::varchar, 'null'), ',"publication":{"boot_id":null,"confirmed_at_utc":"2025-01-01T00:00:00Z",',
+ '"confirmed_by":"writer","legacy":false,"schema":2,"segment":', to_json(path), ',"sha256":"', sha256(path), '","size_bytes":', b, ',"state":"PUBLICATION_CONFIRMED","writer_schema":"parquet_writer/2"},"record_count":', n, '}', chr(10)) as content,
+ case when n < 0 or b < 0 then 'INVALID' else 'VALID' end as status from r""")
+def publication_markers(spark, d):
+    """Markers of the listed segments (the digest is that of the path, as there are no bytes), and what reading them back says."""
+    listed = segments.finished_listing(read_table(spark, d, "hour_sources"))
+    rows = listed.select(
+        F.col("path").alias("segment"), F.coalesce("rows", F.lit(0)).alias("record_count"), F.col("min_ts_ms").alias("first_ts"), F.col("max_ts_ms").alias("last_ts"),
+        F.sha2("path", 256).alias("sha256"), F.coalesce("size_bytes", F.lit(0)).alias("size_bytes"),
+    )
+    made = publication.markers(rows, confirmed_at="2025-01-01T00:00:00Z")
+    return publication.marker_status(made).select("segment", "content", "status")
+
+
+@case("""with o as (select instrument_key k, epoch_ms(local_timestamp) // 3600000 h, epoch_ms(local_timestamp) t, count(*) n from markprice group by all)
+select k as instrument_key, h as hour, sum(n)::bigint as n, concat_ws(',', case when count(*) filter (where t is null) > 0 then 'null_time' end, case when count(*) filter (where n > 1 and t is not null) > 0 then 'repeated_time' end,
+ case when k <> 'BINANCE|linear_perpetual|BTC-USDT|BTCUSDT' then 'other_instrument' end) as problems from o group by k, h""")
+def accepted_hours(spark, d):
+    """Hourly tables of mark prices against the rules of compaction."""
+    m = read_table(spark, d, "markprice").withColumn("t", epoch_ms(F.col("local_timestamp"))).withColumn("hour", F.floor(F.col("t") / HOUR))
+    out = publication.accept_hours(m, by=["instrument_key", "hour"], time_ms=F.col("t"), instrument=F.col("instrument_key"), expected="BINANCE|linear_perpetual|BTC-USDT|BTCUSDT")
+    return out.withColumn("problems", F.array_join("problems", ","))
+
+
+# Validity and preparation
+
+_TIMES = "case when not coalesce(t > 0, false) then 'Invalid timestamp' when e <= 0 then 'Invalid exchange timestamp' end a"
+_ACCEPT = """w as (select *, max(case when a is null and b is null then t end) over (partition by k order by id rows between unbounded preceding and 1 preceding) p from c)
+select id as {0}, coalesce(a, case when t <= p then 'Timestamp regression' end, b) as reason, case when a is null and abs(e - t) > 5000 then abs(e - t) end as drift_ms from w"""
+
+
+@case(f"""with r as (select reading_id id, instrument_key k, epoch_ms(timestamp) t, epoch_ms(exchange_timestamp) e, mark_price m, funding_rate f, next_funding_time n from markprice),
+c as (select *, {_TIMES}, case when not coalesce(m > 0 and isfinite(m), false) then 'Invalid mark price' when f is not null and not isfinite(f) then 'Invalid funding rate'
+ when n is not null and not (n > 0 and (e is null or n > e)) then 'Invalid next funding time' end b from r), {_ACCEPT.format('reading_id')}""")
+def validated_marks(spark, d):
+    m = read_table(spark, d, "markprice")
+    e = epoch_ms(F.col("exchange_timestamp"))
+    out = validation.monotone_verdicts(
+        m, key="instrument_key", time=epoch_ms(F.col("timestamp")), exchange=e, rules=validation.mark_rules(F.col("mark_price"), F.col("funding_rate"), F.col("next_funding_time"), e),
+        order=["reading_id"], chunk=F.floor(F.col("reading_id") / 100_000),
+    )
+    return out.select("reading_id", "reason", "drift_ms")
+
+
+@case(f"""with r as (select book_id id, instrument_key k, epoch_ms(timestamp) t, epoch_ms(exchange_timestamp) e, * from orderbook),
+c as (select *, {_TIMES}, case when not (coalesce(len(bids_price), 0) > 0 and coalesce(len(asks_price), 0) > 0) then 'Empty book'
+ when not coalesce(best_bid > 0 and isfinite(best_bid) and best_ask > 0 and isfinite(best_ask), false) then 'Invalid best bid/ask' when not coalesce(best_ask > best_bid, false) then 'Crossed book'
+ when not coalesce(total_bid_qty > 0 and isfinite(total_bid_qty) and total_ask_qty > 0 and isfinite(total_ask_qty), false) then 'Invalid total qty'
+ when not coalesce(isfinite(obi) and obi between -1 and 1, false) then 'OBI out of bounds' end b from r), {_ACCEPT.format('book_id')}""")
+def validated_books(spark, d):
+    o = read_table(spark, d, "orderbook")
+    rules = validation.book_rules(*[F.col(c) for c in ("best_bid", "best_ask", "total_bid_qty", "total_ask_qty", "obi", "bids_price", "asks_price")])
+    out = validation.monotone_verdicts(
+        o, key="instrument_key", time=epoch_ms(F.col("timestamp")), exchange=epoch_ms(F.col("exchange_timestamp")), rules=rules, order=["book_id"], chunk=F.floor(F.col("book_id") / 100_000)
+    )
+    return out.select("book_id", "reason", "drift_ms")
+
+
+@case()
+def validated_trades(spark, d):
+    """Trades in order of delivery; time and id must rise together, so each instrument is a fold."""
+    t = _trades(spark, d).select(
+        F.col("instrument_key").alias("key"), F.col("delivery_id").alias("seq"), F.col("delivery_id").alias("row_id"), epoch_ms(F.col("local_receive_ts")).alias("time_ms"),
+        epoch_ms(F.col("exchange_event_ts")).alias("exchange_ms"), "price", "quantity", exact.lossless_long(F.col("trade_id")).alias("trade_id"),
+    )
+    return validation.trade_verdicts(t)
+
+
+ONE = "BINANCE|linear_perpetual|BTC-USDT|BTCUSDT"
+
+
+@case(f"""with x as (select case when instrument_key <> '{ONE}' then 'other_instrument' when local_timestamp is null then 'no_time' end loss, epoch_ms(local_timestamp) t from markprice)
+select coalesce(loss, case when t < 1756857600000 then 'before' when t >= 1756944000000 then 'after' when t > 1756943940000 then 'trailing' else 'inside' end) as place, count(*) as n from x group by 1""")
+def prepared_places(spark, d):
+    """What becomes of the mark prices on their way to one instrument's grid of a day of minutes."""
+    p = assembly.prepare_stream(read_table(spark, d, "markprice"), "mark", instrument=ONE)
+    place = F.coalesce("mark_loss", assembly.day_place(epoch_ms(F.col("mark_ts")), 1_756_857_600_000, 1_756_944_000_000, 60_000))
+    return p.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@case(f"""with {EV}, f as (select t, qty, value, sgn, {T0} + (t - {T0} + {HOUR} - 1) // {HOUR} * {HOUR} g from e where event_type in ('purchase', 'error') and t >= {T0} and t <= {T0 + 30 * DAY - HOUR}),
+o as (select g, t, qty, value, sgn, count(*) c from f group by all)
+select g as grid_ts, count(*) as liquidation_count, sum(case when sgn = 1 then qty else 0 end) as liquidation_buy_volume, sum(case when sgn = -1 then qty else 0 end) as liquidation_sell_volume,
+ sum(sgn * qty) as liquidation_net_volume, round(sum(qty * value), 6) as liquidation_notional, sum(c - 1)::bigint as liquidation_dup_dropped from o group by 1""")
+def liquidation_bars(spark, d):
+    e = events(spark, d).where("event_type in ('purchase', 'error')")
+    out = assembly.liquidation_bars(
+        e, time_ms=F.col("t"), side=F.col("sign"), price="value", quantity="qty", grid_ms=HOUR, start_ms=T0, end_ms=T0 + 30 * DAY, identity=["t", "sign", "value", "qty"]
+    )
+    return out.withColumn("liquidation_notional", F.round("liquidation_notional", 6))
+
+
+@case("""select reading_id, round(funding_rate * 10000, 6) as funding_rate_bps, round((next_funding_time - epoch_ms(exchange_timestamp)) / 3600000, 9) as hours_to_funding from markprice""")
+def mark_feature_rows(spark, d):
+    r = assembly.mark_row(F.col("funding_rate"), F.col("next_funding_time"), epoch_ms(F.col("exchange_timestamp")))
+    return read_table(spark, d, "markprice").select("reading_id", F.round(r["funding_rate_bps"], 6).alias("funding_rate_bps"), F.round(r["hours_to_funding"], 9).alias("hours_to_funding"))

@@ -195,7 +195,24 @@ def _one_table_sql(stream: str) -> str:
 
 
 ORACLE["p6_trades"] = _one_table_sql("trades")
-ORACLE["p6_orderbook"] = _one_table_sql("orderbook")
+
+
+@query
+def p6_orderbook_flat(spark, sf_dir):
+    """``p6_orderbook`` with each list as its number of levels and their sum."""
+    out = drift.one_table(read_table(spark, sf_dir, "raw_records"), "orderbook").drop("extra")
+    for c in ("bids_price", "bids_qty", "asks_price", "asks_qty"):
+        total = F.aggregate(c, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
+        out = out.withColumn(f"{c}_levels", F.when(F.col(c).isNotNull(), F.size(c))).withColumn(f"{c}_sum", F.round(total, 5)).drop(c)
+    return out
+
+
+_LISTS = ("bids_price", "bids_qty", "asks_price", "asks_qty")
+ORACLE["p6_orderbook_flat"] = (
+    f"with o as ({_one_table_sql('orderbook')}) select * exclude ({', '.join(_LISTS)}), "
+    + ", ".join(f"len({c})::int as {c}_levels, case when {c} is not null then round(coalesce(list_sum({c}), 0), 5) end as {c}_sum" for c in _LISTS)
+    + " from o"
+)
 ORACLE["p6_lifespans"] = _P6 + """,
 i as (select *, segment_seq - row_number() over (partition by collector_run, stream, field, type order by segment_seq) g from t)
 select collector_run, stream, field, type, min(segment_seq) as first_seg, max(segment_seq) as last_seg, sum(n) as n

@@ -35,36 +35,41 @@ def resolve(entries: DataFrame, *, on_collision: str = "raise") -> DataFrame:
     both = (F.max(F.col("kind") == "segment").over(w)) & (F.max(F.col("kind") == "hourly").over(w))
     rows = entries.where("kind is not null").withColumn("_both", both)
     if on_collision == "raise":
-        return rows.withColumn("path", F.when(F.col("_both"), F.raise_error(F.concat(F.lit("two representations: "), "path"))).otherwise(F.col("path"))).drop("_both")
+        # a condition of the rows: whatever columns are read, it is checked
+        two = F.raise_error(F.concat(F.lit("two representations: "), F.coalesce("path", F.lit("")))).cast("boolean")
+        return rows.where(F.when(F.col("_both"), two).otherwise(F.lit(True))).drop("_both")
     wanted = "segment" if on_collision == "prefer_segments" else "hourly"
     return rows.where(~F.col("_both") | (F.col("kind") == wanted)).drop("_both")
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, size_bytes, modified_ms) of the files below root, sub-folders included; an absent root has none, an unreadable one is an error."""
+    """(path, size_bytes, modified_ms) of the files below root, sub-folders included; an absent root has none, an unreadable one is
+    an error. Spark lists the folders in parallel; contents aren't read."""
     fs, path = hadoop_fs(spark, root)
-    found, todo = [], [path(root)] if fs.exists(path(root)) else []
-    while todo:
-        for status in fs.listStatus(todo.pop()):
-            if status.isDirectory():
-                todo.append(status.getPath())
-            else:
-                found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
-    return spark.createDataFrame(found, "path string, size_bytes long, modified_ms long")
+    if not fs.exists(path(root)):
+        return spark.createDataFrame([], "path string, size_bytes long, modified_ms long")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.select("path", F.col("length").alias("size_bytes"), F.unix_millis("modificationTime").alias("modified_ms"))
+
+
+def trust(listing: DataFrame) -> DataFrame:
+    """Candidate files of a listing (path, size_bytes, ...) with stream (their folder), parsed name and trust: INVALID (no data file,
+    or empty), AMBIGUOUS (both kinds in an hour), LEGACY (hourly), MARKED (a .meta.json lies beside it) or UNMARKED. Files aren't opened."""
+    files = listing.withColumn("stream", F.regexp_extract("path", r"([^/\\]+)[/\\][^/\\]+$", 1))
+    markers = files.where(F.col("path").endswith(".meta.json")).select(F.regexp_replace("path", r"\.meta\.json$", "").alias("path"), F.lit(True).alias("marked")).distinct()
+    data = parse_names(files.where(~F.coalesce(F.col("path").endswith(".meta.json"), F.lit(False))), "path").join(markers, "path", "left")
+    kinds = data.where("kind is not null").groupBy("stream", "date", "hour").agg(F.count_distinct("kind").alias("_kinds"))
+    data = data.join(kinds, ["stream", "date", "hour"], "left")
+    verdict = (
+        F.when(F.col("kind").isNull() | F.coalesce(F.col("size_bytes") == 0, F.lit(False)), "INVALID").when(F.col("_kinds") > 1, "AMBIGUOUS").when(F.col("kind") == "hourly", "LEGACY")
+        .when(F.col("marked"), "MARKED").otherwise("UNMARKED")
+    )
+    return data.withColumn("trust", verdict).drop("marked", "_kinds")
 
 
 def catalog(spark: SparkSession, root: str) -> DataFrame:
-    """Candidate files with stream (their folder), parsed name and trust: INVALID (no data file, or empty), AMBIGUOUS (both
-    kinds in an hour), LEGACY (hourly), MARKED (a .meta.json lies beside it) or UNMARKED. Files aren't opened."""
-    files = list_files(spark, root).withColumn("stream", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))
-    markers = files.where(F.col("path").endswith(".meta.json")).select(F.regexp_replace("path", r"\.meta\.json$", "").alias("path"), F.lit(True).alias("marked"))
-    data = parse_names(files.where(~F.col("path").endswith(".meta.json")), "path").join(markers, "path", "left")
-    kinds = F.size(F.collect_set("kind").over(Window.partitionBy("stream", "date", "hour")))
-    trust = (
-        F.when(F.col("kind").isNull() | (F.col("size_bytes") == 0), "INVALID").when(kinds > 1, "AMBIGUOUS").when(F.col("kind") == "hourly", "LEGACY")
-        .when(F.col("marked"), "MARKED").otherwise("UNMARKED")
-    )
-    return data.withColumn("trust", trust).drop("marked", "modified_ms")
+    """``trust`` of the files below root."""
+    return trust(list_files(spark, root)).drop("modified_ms")
 
 
 def byte_digests(spark: SparkSession, root: str, glob: str = "*.seg") -> DataFrame:
@@ -86,3 +91,8 @@ def missing_hours(entries: DataFrame) -> DataFrame:
     days = entries.select("stream", "date").distinct()
     every = days.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
     return every.join(entries.select("stream", "date", "hour"), ["stream", "date", "hour"], "left_anti")
+
+
+def finished_listing(listing: DataFrame) -> DataFrame:
+    """Entries whose path names a finished segment. A null path is none."""
+    return listing.where(F.col("path").endswith(".seg") | F.col("path").endswith(".parquet"))
