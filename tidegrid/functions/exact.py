@@ -49,3 +49,24 @@ def parse_instrument(key: Column) -> Column:
         state.alias("state"), part(0).alias("exchange"), part(1).alias("market"),
         F.when(ok, F.split(F.split(key, r"\|")[2], "-")[0]).alias("base"), F.when(ok, F.split(F.split(key, r"\|")[2], "-")[1]).alias("quote"), part(3).alias("native"),
     )
+
+
+def parts_of_key(key: Column) -> Column:
+    """The parts of a ``framed_key`` in order, or null if the text isn't one. Lengths are read one after the other, so this is a
+    function over Arrow batches."""
+    import pandas as pd
+
+    def split(texts: pd.Series) -> pd.Series:
+        def one(text):
+            parts, rest = [], text
+            while rest:
+                size, colon, rest = rest.partition(":")
+                if not colon or not (size.isascii() and size.isdigit()) or len(rest) < int(size):
+                    return None
+                parts.append(rest[: int(size)])
+                rest = rest[int(size) :]
+            return parts
+
+        return texts.map(one, na_action="ignore")
+
+    return F.pandas_udf(split, "array<string>")(key)

@@ -35,3 +35,19 @@ def with_adjacent(df: DataFrame, keys: list[str], chunk: str, order: list[str],
     if following:
         out = out.withColumn(following, F.coalesce(F.lead(value).over(own), "_next"))
     return out.drop("_prev", "_next")
+
+
+def with_carried(df: DataFrame, keys: list[str], chunk: str, order: list[str], values: dict[str, Column]) -> DataFrame:
+    """df with, for each name in ``values``, the last non-null value of that column at or before the row in its group.
+
+    Chunks must rise with the order; what a chunk inherits is carried over a table with one row a chunk.
+    """
+    rows = df.select("*", *[c.alias(f"_v{i}") for i, c in enumerate(values.values())])
+    place = F.struct(*order)
+    edges = rows.groupBy(*keys, chunk).agg(*[F.max_by(f"_v{i}", F.when(F.col(f"_v{i}").isNotNull(), place)).alias(f"_e{i}") for i in range(len(values))])
+    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select(*keys, chunk, *[F.last(f"_e{i}", True).over(before).alias(f"_b{i}") for i in range(len(values))])
+    own = Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.join(edges, [*keys, chunk])
+    out = out.select("*", *[F.coalesce(F.last(f"_v{i}", True).over(own), f"_b{i}").alias(name) for i, name in enumerate(values)])
+    return out.drop(*[f"_{x}{i}" for x in "vb" for i in range(len(values))])

@@ -21,6 +21,45 @@ def venue_of(instrument_key: str) -> str:
     return "BINANCE_SPOT" if exchange == "BINANCE_SPOT" or (exchange, market) == ("BINANCE", "SPOT") else "BINANCE"
 
 
+class Levels:
+    """One side of a book: quantities by price, and the prices in order. Changes are made in place and can be taken back."""
+
+    def __init__(self):
+        self.quantities: dict = {}
+        self.prices: list = []
+
+    def __len__(self) -> int:
+        return len(self.prices)
+
+    def _set(self, price, quantity) -> None:
+        if quantity:
+            if price not in self.quantities:
+                bisect.insort(self.prices, price)
+            self.quantities[price] = quantity
+        elif self.quantities.pop(price, None) is not None:
+            del self.prices[bisect.bisect_left(self.prices, price)]
+
+    def change(self, changes) -> list | None:
+        """Apply (price, quantity) texts in turn, quantity 0 removes; what undoes it, or None (and no change) if one isn't valid."""
+        undo: list = []
+        for price, quantity in changes if changes is not None else ():
+            try:
+                p, q = Decimal(price), Decimal(quantity)
+                good = p > 0 and q >= 0 and p.is_finite() and q.is_finite()
+            except (InvalidOperation, TypeError):
+                good = False
+            if not good:
+                self.take_back(undo)
+                return None
+            undo.append((p, self.quantities.get(p)))
+            self._set(p, q)
+        return undo
+
+    def take_back(self, undo: list) -> None:
+        for price, quantity in reversed(undo):
+            self._set(price, quantity)
+
+
 class BookFold:
     """State of one instrument's book.
 
@@ -43,32 +82,27 @@ class BookFold:
 
     def __init__(self, capacity: int = 10_000, venue: str = "BINANCE"):
         self.venue = venue
-        self.bids: dict = {}
-        self.asks: dict = {}
+        self.bids, self.asks = Levels(), Levels()
         self.buffer: list = []
         self.capacity, self.last, self.state, self.pending, self.generation = capacity, None, "RECOVERING", None, 0
 
     @staticmethod
-    def _merged(levels: dict, changes) -> dict | None:
-        out = dict(levels)
-        for price, quantity in changes if changes is not None else ():
-            try:
-                p, q = Decimal(price), Decimal(quantity)
-            except (InvalidOperation, TypeError):
-                return None
-            if not (p.is_finite() and q.is_finite()) or p <= 0 or q < 0:
-                return None
-            if q:
-                out[p] = q
-            else:
-                out.pop(p, None)
-        return out
-
-    def _next(self, bids, asks, frame):
-        b, a = self._merged(bids, frame["bids"]), self._merged(asks, frame["asks"])
-        if b is None or a is None or (b and a and max(b) >= min(a)):
-            return None
-        return b, a
+    def _change(bids: Levels, asks: Levels, frame) -> bool:
+        """Apply a frame's levels to both sides; False, and no change, if one isn't valid or the book would cross."""
+        undo = bids.change(frame["bids"])
+        if undo is None:
+            return False
+        more = asks.change(frame["asks"])
+        if more is not None and not (bids.prices and asks.prices and bids.prices[-1] >= asks.prices[0]):
+            return True
+        if more is not None:
+            asks.take_back(more)
+        bids.take_back(undo)
+        return False
+
+    def _fresh(self, snapshot) -> tuple[Levels, Levels] | None:
+        book = Levels(), Levels()
+        return book if self._change(*book, snapshot) else None
 
     def _keep(self, frame) -> str:
         if len(self.buffer) >= self.capacity:
@@ -79,7 +113,7 @@ class BookFold:
 
     def _bridge(self, snapshot) -> str:
         base = snapshot["update_id"]
-        book = self._next({}, {}, snapshot)
+        book = self._fresh(snapshot)
         if base is None or book is None:
             self.state = "SEQUENCE_GAP"
             return "snapshot_invalid"
@@ -97,7 +131,7 @@ class BookFold:
             why = self._order(f, last) if last is not None else None
             if why == "stale":
                 continue
-            if why or (book := self._next(*book, f)) is None:
+            if why or not self._change(*book, f):
                 self.buffer, self.state, self.pending = later, "SEQUENCE_GAP", None
                 return "bridge_broken"
             last = f["update_id"]
@@ -120,7 +154,7 @@ class BookFold:
         return "stale" if u <= last else "sequence_gap" if prev != last else None
 
     def _replace(self, snapshot) -> str:
-        book = self._next({}, {}, snapshot)
+        book = self._fresh(snapshot)
         if book is None:
             self.state = "SEQUENCE_GAP"
             return "snapshot_invalid"
@@ -144,10 +178,8 @@ class BookFold:
             return why
         if why:
             return self._gap(frame, why)
-        book = self._next(self.bids, self.asks, frame)
-        if book is None:
+        if not self._change(self.bids, self.asks, frame):
             return self._gap(frame, "invalid_book")
-        self.bids, self.asks = book
         self.last, self.anchored = frame["update_id"], True
         return "applied"
 
@@ -158,8 +190,8 @@ class BookFold:
         return why
 
     def row(self, frame, outcome: str) -> tuple:
-        best = lambda levels, pick: float(pick(levels)) if levels else None
-        return (frame["seq"], frame["update_id"], self.state, outcome, best(self.bids, max), best(self.asks, min), len(self.bids), len(self.asks), self.generation)
+        best = lambda side, at: float(side.prices[at]) if side.prices else None
+        return (frame["seq"], frame["update_id"], self.state, outcome, best(self.bids, -1), best(self.asks, 0), len(self.bids), len(self.asks), self.generation)
 
 
 def frames_of(pdf):
@@ -230,17 +262,20 @@ def reconstruct(frames: DataFrame, *, capacity: int = 10_000) -> DataFrame:
     columns = ["instrument_key", "seq", "is_snapshot", "update_id", "first_id", "prev_id", "bids", "asks"]
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         key, book = object(), None
-        for pdf in batches:
+        kinds = {"string": pa.string(), "long": pa.int64(), "double": pa.float64(), "int": pa.int32()}
+        schema = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in SCHEMA.split(", "))])
+        for batch in batches:
             out = []
-            for name, part in pdf.groupby("instrument_key", sort=False):
+            for name, *fields in zip(*(batch.column(c).to_pylist() for c in columns)):
                 if name != key:
                     key, book = name, BookFold(capacity, venue_of(name))
-                for frame in frames_of(part):
-                    out.append((name, *book.row(frame, book.apply(frame))))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"update_id": "Int64"})
+                frame = dict(zip(columns[1:], fields))
+                out.append((name, *book.row(frame, book.apply(frame))))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
 
     known = frames.select(*columns).where("instrument_key is not null and seq is not null")
-    return known.repartition("instrument_key").sortWithinPartitions("instrument_key", "seq").mapInPandas(run, SCHEMA)
+    return known.repartition("instrument_key").sortWithinPartitions("instrument_key", "seq").mapInArrow(run, SCHEMA)

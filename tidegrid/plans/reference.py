@@ -9,7 +9,7 @@ from tidegrid.functions import book as B
 from tidegrid.functions import exact
 from tidegrid.functions.clock import ceil_grid, coerce_ms, epoch_ms, purge_days
 from tidegrid.operators import assembly, asof, bars, coverage, evidence, orderbook, replay, research, validation
-from tidegrid.operators.neighbours import with_adjacent
+from tidegrid.operators.neighbours import with_adjacent, with_carried
 from tidegrid.session import read_table
 from tidegrid.sources import normalize, publication, segments
 
@@ -373,10 +373,10 @@ c as (select *, last_value(v ignore nulls) over w lv, last_value(case when v is
 select record_id, lv as bid_depth, v is null and lv is not null as carried, q * 100000 + n - lp as age_rows from c""")
 def carry_forward_provenance(spark, d):
     s = read_table(spark, d, "raw_records").where("stream = 'orderbook'").withColumn("v", F.get_json_object("payload", "$.bid_depth"))
-    w = Window.partitionBy("collector_run").orderBy("segment_seq", "row_no", "record_id").rowsBetween(Window.unboundedPreceding, 0)
     place = (F.col("segment_seq") * 100_000 + F.col("row_no")).cast("long")
-    last, at = F.last("v", True).over(w), F.last(F.when(F.col("v").isNotNull(), place), True).over(w)
-    return s.select("record_id", last.alias("bid_depth"), (F.col("v").isNull() & last.isNotNull()).alias("carried"), (place - at).alias("age_rows"))
+    s = s.withColumn("place", place).withColumn("c", F.floor(F.col("segment_seq") / 64))
+    s = with_carried(s, ["collector_run"], "c", ["segment_seq", "row_no", "record_id"], {"last": F.when(F.col("v").isNotNull(), F.struct("v", "place"))})
+    return s.select("record_id", F.col("last.v").alias("bid_depth"), (F.col("v").isNull() & F.col("last.v").isNotNull()).alias("carried"), (F.col("place") - F.col("last.place")).alias("age_rows"))
 
 
 @case("""with s as (select collector_run r, segment_seq q, row_no n, record_id, try_cast(coalesce(payload ->> '$.trade_id', payload ->> '$.tradeId', payload ->> '$.tid') as bigint) i
@@ -385,9 +385,9 @@ select record_id, case when p is null or i = p + 1 then 'continue' when i = p th
 def sequence_continuity(spark, d):
     i = F.coalesce(*[F.get_json_object("payload", p) for p in ("$.trade_id", "$.tradeId", "$.tid")]).try_cast("long")
     s = read_table(spark, d, "raw_records").where("stream = 'trades'").withColumn("i", i).where("i is not null")
-    p = F.lag("i").over(Window.partitionBy("collector_run").orderBy("segment_seq", "row_no", "record_id"))
+    s = with_adjacent(s.withColumn("c", F.floor(F.col("segment_seq") / 64)), ["collector_run"], "c", ["segment_seq", "row_no", "record_id"], "i", prev="p")
     verdict = F.when(F.col("p").isNull() | (F.col("i") == F.col("p") + 1), "continue").when(F.col("i") == F.col("p"), "duplicate").when(F.col("i") < F.col("p"), "stale").otherwise("gap")
-    return s.withColumn("p", p).select("record_id", verdict.alias("verdict"))
+    return s.select("record_id", verdict.alias("verdict"))
 
 
 # Duplicates
@@ -825,3 +825,26 @@ def liquidation_bars(spark, d):
 def mark_feature_rows(spark, d):
     r = assembly.mark_row(F.col("funding_rate"), F.col("next_funding_time"), epoch_ms(F.col("exchange_timestamp")))
     return read_table(spark, d, "markprice").select("reading_id", F.round(r["funding_rate_bps"], 6).alias("funding_rate_bps"), F.round(r["hours_to_funding"], 9).alias("hours_to_funding"))
+
+
+_JSON = "case when json_valid(msg) and trim(msg) like '{%' then msg end"
+
+
+@case(f"""with m as (select item_id, {_JSON} m from ingest_items), r as (select item_id, case when m is null then 'malformed_payload' when m ->> '$.lastUpdateId' is not null or coalesce(m ->> '$.data.e', m ->> '$.e') = 'depthUpdate' then null
+ when coalesce(m ->> '$.op', m ->> '$.success', m ->> '$.event', m ->> '$.ret_msg') is not null or (m ->> '$.id' is not null and m ->> '$.data' is null and m ->> '$.e' is null) then 'control_frame' else 'no_route' end as reason,
+ coalesce(m ->> '$.stream', m ->> '$.topic', m ->> '$.arg.channel', 'unrouted') as channel from m) select item_id, reason, channel from r where reason is not null""")
+def unhandled_frames(spark, d):
+    """Frames that give no event, with why; of the test tables' payloads only depth is routed."""
+    out = normalize.unhandled(read_table(spark, d, "ingest_items").select(F.col("item_id").alias("frame_id"), F.col("msg").alias("payload")))
+    return out.withColumnRenamed("frame_id", "item_id")
+
+
+@case()
+def replay_counters(spark, d):
+    """The recorded frames of one venue replayed in total order, and what became of them."""
+    i = read_table(spark, d, "ingest_items").where("local_receive_ts is not null")
+    log = i.select(F.col("local_receive_ts").alias("ts_ms"), F.col("receive_ns").alias("ns"), F.col("item_id").alias("source_index"), F.when(F.col("is_control"), 1).otherwise(0).alias("kind_rank"),
+                   "venue", F.col("msg").alias("payload"), F.col("decode_error").isNull().alias("decode_ok"))
+    symbol = F.coalesce(F.get_json_object("payload", "$.data.s"), F.get_json_object("payload", "$.s"))
+    log = log.withColumn("ns", F.coalesce("ns", F.lit(-1))).withColumn("instrument_key", F.concat(F.lit("BYBIT|linear_perpetual|"), symbol, F.lit("|"), symbol))
+    return replay.counters(replay.replay_frames(replay.ordered(log), venue="BYBIT"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.exact import dec
+from tidegrid.operators.neighbours import with_carried
 
 LEVELS = "array<array<string>>"
 
@@ -186,3 +187,86 @@ def rejects(frames: DataFrame) -> DataFrame:
     """(reason, frames) of payloads no normaliser takes: undecodable, else the kind ``route`` gives them."""
     kinds = frames.select("payload").withColumn("kind", route()).withColumn("by", _taken())
     return kinds.where("kind = 'undecodable' or by is null").groupBy(F.col("kind").alias("reason")).agg(F.count(F.lit(1)).alias("frames"))
+
+
+def tickers(frames: DataFrame) -> DataFrame:
+    """Bybit's tickers with what earlier ones said: (frame_id, symbol, kind, mark_price, index_price, funding_rate, next_funding_ms,
+    open_interest, carried_forward, field_age_ms, exchange_ms).
+
+    frames: frame_id (order of arrival), payload. A snapshot clears what was known; a message gives a ``markprice`` row if it
+    carries a mark, index or funding field, and an ``openinterest`` row if it carries that. carried_forward: fields known but
+    not in this message; field_age_ms: age of each known field by the exchange's clock, at least 0. Fields never seen are null
+    in no list. Messages without any of these fields give no rows.
+    """
+    rows = _frames_for(frames, "tickers").withColumn("symbol", F.substring_index("name", ".", -1))
+    paths = {"markPrice": "markprice", "indexPrice": "markprice", "fundingRate": "markprice", "nextFundingTime": "markprice", "openInterest": "openinterest"}
+    at = _get("$.ts").try_cast("long")
+    rows = rows.withColumn("at", at).withColumn("snap", F.coalesce(_get("$.type") == "snapshot", F.lit(False)))
+    for i, p in enumerate(paths):
+        rows = rows.withColumn(f"p{i}", _get(f"$.data.{p}"))
+    nothing = F.struct(F.lit(None).cast("string").alias("v"), F.lit(None).cast("long").alias("t"))
+    seen = {f"s{i}": F.when(F.col(f"p{i}").isNotNull(), F.struct(F.col(f"p{i}").alias("v"), F.col("at").alias("t"))).when(F.col("snap"), nothing) for i in range(len(paths))}
+    rows = with_carried(rows.withColumn("c", F.floor(F.col("frame_id") / 100_000)), ["symbol"], "c", ["frame_id"], seen)
+    of = lambda kind: [i for i, k in enumerate(paths.values()) if k == kind]
+    names = list(paths)
+
+    def events(kind: str) -> DataFrame:
+        own = of(kind)
+        known = lambda i: F.col(f"s{i}.v").isNotNull()
+        carried = F.array_compact(F.array(*[F.when(known(i) & F.col(f"p{i}").isNull(), F.lit(names[i])) for i in own]))
+        age = lambda i: F.greatest(F.col("at") - F.col(f"s{i}.t"), F.lit(0))
+        ages = F.map_from_entries(F.array_compact(F.array(*[F.when(known(i) & age(i).isNotNull(), F.struct(F.lit(names[i]), age(i))) for i in own])))
+        value = lambda i: F.col(f"s{i}.v") if i in own else F.lit(None).cast("string")
+        here = F.coalesce(*[F.col(f"p{i}") for i in own]).isNotNull()
+        return rows.where(here).select(
+            "frame_id", "symbol", F.lit(kind).alias("kind"), dec(value(0)).alias("mark_price"), dec(value(1)).alias("index_price"), dec(value(2)).alias("funding_rate"),
+            value(3).try_cast("long").alias("next_funding_ms"), dec(value(4)).alias("open_interest"), carried.alias("carried_forward"), ages.alias("field_age_ms"), F.col("at").alias("exchange_ms"),
+        )
+
+    return events("markprice").unionByName(events("openinterest"))
+
+
+def unhandled(frames: DataFrame) -> DataFrame:
+    """(frame_id, reason, channel) of payloads that give no event: malformed_payload (no JSON object), control_frame (acks, errors,
+    pongs), empty_data (a list of none), channel_not_implemented (a channel known by name that no normaliser takes), no_route.
+    Each is one row lost; a trade suppressed as a repeat is not (see ``redelivery``)."""
+    rows = frames.select("frame_id", "payload").withColumn("kind", route()).withColumn("by", _taken())
+    control = F.coalesce(_get("$.op"), _get("$.success"), _get("$.event"), _get("$.ret_msg")).isNotNull() | (_get("$.id").isNotNull() & _get("$.data").isNull() & _get("$.e").isNull())
+    reason = (
+        F.when(F.col("kind") == "undecodable", "malformed_payload").when(F.col("by").isNotNull(), F.when(_get("$.data") == "[]", "empty_data"))
+        .when(control, "control_frame").when(F.col("kind") != "unsupported", "channel_not_implemented").otherwise("no_route")
+    )
+    name = F.coalesce(_get("$.stream"), _get("$.topic"), _get("$.arg.channel"), F.lit("unrouted"))
+    return rows.withColumn("reason", reason).where("reason is not null").select("frame_id", "reason", name.alias("channel"))
+
+
+def okx_envelope(payload: Column) -> Column:
+    """Kind of an OKX frame by its envelope: subscribe_ack, unsubscribe_ack, error, notice, conn_count, data_push or unknown."""
+    g = lambda p: F.get_json_object(payload, p)
+    event = g("$.event")
+    names = {"subscribe": "subscribe_ack", "unsubscribe": "unsubscribe_ack", "error": "error", "notice": "notice", "channel-conn-count": "conn_count", "channel-conn-count-error": "conn_count"}
+    kind = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), event)
+    return F.when(event.isNotNull(), F.coalesce(kind, F.lit("unknown"))).when(g("$.arg").isNotNull() & g("$.data").isNotNull(), "data_push").otherwise("unknown")
+
+
+def open_interest_body(body: Column, symbol: Column) -> Column:
+    """Struct (open_interest, exchange_ms, reason) of a polled response: reason is null, or invalid_json, not_an_object,
+    no_open_interest, not_a_number, not_positive, or symbol_contradicts (it names another symbol than was asked for)."""
+    g = lambda p: F.get_json_object(body, p)
+    value = dec(g("$.openInterest"))
+    reason = (
+        F.when(F.try_parse_json(body).isNull(), "invalid_json").when(~F.trim(body).startswith("{"), "not_an_object").when(g("$.openInterest").isNull(), "no_open_interest")
+        .when(value.isNull(), "not_a_number").when(value <= 0, "not_positive").when(g("$.symbol") != symbol, "symbol_contradicts")
+    )
+    return F.struct(F.when(reason.isNull(), value).alias("open_interest"), F.when(reason.isNull(), g("$.time").try_cast("long")).alias("exchange_ms"), reason.alias("reason"))
+
+
+def stamp_instruments(events: DataFrame, instruments: DataFrame) -> DataFrame:
+    """events (venue, native, ...) with instrument_key from instruments (venue, native, instrument_key; one a pair). An event that
+    brings a key of its own keeps it; another key than the table's is an error when the rows are read. Unknown pairs stay null."""
+    known = instruments.select("venue", "native", F.col("instrument_key").alias("_key"))
+    own = F.col("instrument_key") if "instrument_key" in events.columns else F.lit(None).cast("string")
+    out = events.join(known, ["venue", "native"], "left")
+    clash = F.raise_error(F.concat(F.lit("instrument contradicts its adapter: "), own)).cast("boolean")
+    out = out.where(F.when(F.coalesce(own != F.col("_key"), F.lit(False)), clash).otherwise(F.lit(True)))
+    return out.withColumn("instrument_key", F.coalesce(own, "_key")).drop("_key")
