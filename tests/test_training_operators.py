@@ -176,11 +176,11 @@ def test_consolidation_keeps_records_without_key_of_contained_entries(spark, tmp
 def test_consolidation_keeps_columns_and_what_was_current(spark, tmp_path, monkeypatch):
     l = spark.createDataFrame([(1, "a", "1.seg", 10, 400), (2, "a", "2.seg", None, None)], "file_id long, stream string, path string, rows long, size_bytes long")
     cols = "file_id long, row_no int, record_key long, record_ts timestamp, stream string, tags map<string,string>, notes array<string>"
-    r = spark.createDataFrame([(1, 0, 1, ts(5), "x", {"a": "b"}, ["n"]), (2, 0, 1, ts(6), "y", None, None), (2, 1, 2, None, None, {}, [])], cols)
+    r = spark.createDataFrame([(1, 0, 1, ts(5), "x", {"a": "b"}, ["n"]), (1, 1, 3, ts(7), "z", None, None), (2, 0, 1, ts(6), "y", None, None), (2, 1, 2, None, None, {}, [])], cols)
     out_dir = f"file://{tmp_path}/out"
     out, _ = consolidation.consolidate(l, r, out_dir)
     assert sorted(out.columns) == sorted(["stream", "file_id", "row_no", "record_key", "record_ts", "record_stream", "tags", "notes"])
-    assert rows(out, "record_key", "record_stream", "tags", "notes") == [(1, "x", {"a": "b"}, ["n"]), (2, None, {}, [])]
+    assert rows(out, "record_key", "record_stream", "tags", "notes") == [(1, "x", {"a": "b"}, ["n"]), (2, None, {}, []), (3, "z", None, None)]
     first = consolidation.current(spark, out_dir)
 
     def fails(*_):
@@ -190,7 +190,7 @@ def test_consolidation_keeps_columns_and_what_was_current(spark, tmp_path, monke
     with pytest.raises(OSError):
         consolidation.consolidate(l, r.where("file_id = 1"), out_dir)
     monkeypatch.undo()
-    assert consolidation.current(spark, out_dir) == first and spark.read.parquet(first).count() == 2
+    assert consolidation.current(spark, out_dir) == first and spark.read.parquet(first).count() == 3
     with pytest.raises(RuntimeError):
         consolidation.reconcile(out, out.where("record_key = 1"))
 

@@ -30,7 +30,14 @@ def finished(listing: DataFrame) -> DataFrame:
     return listing.where(F.col("path").endswith(".seg") | F.col("path").endswith(".parquet"))
 
 
-def superseded(listing: DataFrame, records: DataFrame) -> DataFrame:
+def _segment_keys(listing: DataFrame, records: DataFrame) -> DataFrame:
+    """(file_id, record_key, stream): the distinct keys of each finished entry, written once for all that reads them."""
+    done = finished(listing).select("file_id", F.coalesce("stream", F.lit("")).alias("stream"))
+    keys = records.where(F.col("record_key").isNotNull()).select("file_id", "record_key").distinct().join(done, "file_id")
+    return materialize(keys, "segment-keys")
+
+
+def superseded(listing: DataFrame, records: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """(file_id, reason): unfinished, empty, or contained (all its record keys are in one other finished entry of the
     stream that has more distinct keys, or equally many and a lower file_id). Records without a key don't count as keys;
     an entry that has only such records is not empty."""
@@ -39,8 +46,7 @@ def superseded(listing: DataFrame, records: DataFrame) -> DataFrame:
     counts = records.groupBy("file_id").agg(F.count(F.lit(1)).alias("rows"))
     empty = done.join(counts, "file_id", "left_anti").select("file_id", F.lit("empty").alias("reason"))
 
-    keys = records.where(F.col("record_key").isNotNull()).select("file_id", "record_key").distinct().join(done, "file_id")
-    keys = materialize(keys, "segment-keys")
+    keys = _segment_keys(listing, records) if keys is None else keys
     files = keys.groupBy("stream", "file_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("record_key")).alias("h1"),
@@ -49,7 +55,8 @@ def superseded(listing: DataFrame, records: DataFrame) -> DataFrame:
     )
     alike = Window.partitionBy("stream", "n", "h1", "h2")
     files = materialize(files.withColumn("leader", F.min("file_id").over(alike)).drop("h1", "h2"), "segment-files")
-    leaders = files.where("file_id = leader").select("stream", "file_id", "n", "sig")
+    leaders = files.where("file_id = leader").select("stream", "file_id", "n")
+    signatures = files.where("file_id = leader").select("file_id", "sig")
     # the rarest key of each leader, and the largest leader that holds it
     held = keys.join(leaders, ["stream", "file_id"])
     best = F.struct(F.col("n"), (-F.col("file_id")).alias("low"))
@@ -57,8 +64,8 @@ def superseded(listing: DataFrame, records: DataFrame) -> DataFrame:
     rarest = (
         held.join(spread, ["stream", "record_key"])
         .groupBy("stream", "file_id", "n")
-        .agg(F.min(F.struct("df", "record_key", "best")).alias("r"), F.first("sig").alias("sig"))
-        .select("stream", "file_id", "n", "sig", F.col("r.df").alias("df"), F.col("r.record_key").alias("record_key"), (-F.col("r.best.low")).alias("other"))
+        .agg(F.min(F.struct("df", "record_key", "best")).alias("r"))
+        .select("stream", "file_id", "n", F.col("r.df").alias("df"), F.col("r.record_key").alias("record_key"), (-F.col("r.best.low")).alias("other"))
         .where("df > 1")
     )
     rarest = materialize(rarest, "segment-rarest")
@@ -67,8 +74,10 @@ def superseded(listing: DataFrame, records: DataFrame) -> DataFrame:
     inside = materialize(_contained(first, keys), "segment-inside")
     # what the largest candidate doesn't hold: the others that hold the rarest key and whose least hashes are all as low,
     # as they must be if they hold all keys; the condition is part of the join, so other pairs are never rows
-    open_rows = rarest.join(inside, "file_id", "left_anti").select(F.col("stream").alias("s0"), F.col("record_key").alias("k0"), "file_id", F.col("n").alias("n0"), F.col("sig").alias("sig0"))
-    others = held.select("stream", "record_key", F.col("file_id").alias("other"), F.col("n").alias("m"), "sig")
+    open_rows = rarest.join(inside, "file_id", "left_anti").join(signatures, "file_id")
+    open_rows = open_rows.select(F.col("stream").alias("s0"), F.col("record_key").alias("k0"), "file_id", F.col("n").alias("n0"), F.col("sig").alias("sig0"))
+    asked = open_rows.select(F.col("s0").alias("stream"), F.col("k0").alias("record_key")).distinct()
+    others = held.join(asked, ["stream", "record_key"], "left_semi").join(signatures, "file_id").select("stream", "record_key", F.col("file_id").alias("other"), F.col("n").alias("m"), "sig")
     larger = (F.col("m") > F.col("n0")) | (F.col("m") == F.col("n0")) & (F.col("other") < F.col("file_id"))
     may_hold = larger & F.forall(F.arrays_zip("sig", "sig0"), lambda x: x["sig"] <= x["sig0"])
     rest = open_rows.join(others, (F.col("s0") == F.col("stream")) & (F.col("k0") == F.col("record_key")) & (F.col("other") != F.col("file_id")) & may_hold)
@@ -158,7 +167,8 @@ def consolidate(listing: DataFrame, records: DataFrame, out_dir: str, *, target_
     current before is kept until the next run. Without any record an empty table results.
     """
     spark, out_dir = listing.sparkSession, out_dir.rstrip("/")
-    dropped = materialize(superseded(listing, records), "superseded")
+    keys = _segment_keys(listing, records)
+    dropped = materialize(superseded(listing, records, keys), "superseded")
     everything = finished(listing).select("file_id", "stream")
     kept = everything.join(dropped, "file_id", "left_anti")
     if {"size_bytes", "rows"} <= set(listing.columns):
@@ -167,18 +177,18 @@ def consolidate(listing: DataFrame, records: DataFrame, out_dir: str, *, target_
     order = ["stream", "record_ts", "record_key"]
     # nothing else holds a record without a key, so those of contained entries are written too
     once = distinct_records(records, kept, unkeyed=everything)
-    most = _of_entries(records.select("file_id"), kept).count()  # before equal identities are reduced to one
+    most = keys.join(kept.select("file_id"), "file_id", "left_semi").count()  # before equal identities are reduced to one
     files = max(1, -(-most * int(max(bytes_per_record, 1)) // target_bytes))
     version = f"version-{uuid.uuid4().hex}"
     out = once.repartitionByRange(files, *order).sortWithinPartitions(*order)
     out.write.parquet(f"{out_dir}/{version}")
     written = spark.read.schema(out.schema).parquet(f"{out_dir}/{version}")
     # what must come out: each identity of all finished entries, those set aside included
-    rows = _of_entries(records.select("file_id", "record_key"), everything).select("stream", "record_key")
+    free = _of_entries(records.where("record_key is null").select("file_id", "record_key"), everything).select("stream", "record_key")
     fs, path = hadoop_fs(spark, out_dir)
     before = current(spark, out_dir)
     try:
-        reconcile(written, rows.where("record_key is not null").distinct().unionByName(rows.where("record_key is null")))
+        reconcile(written, keys.select("stream", "record_key").distinct().unionByName(free))
         _switch(spark, out_dir, version)
     except Exception:
         fs.delete(path(f"{out_dir}/{version}"), True)
