@@ -56,7 +56,7 @@ def parts_of_key(key: Column) -> Column:
     function over Arrow batches."""
     import pandas as pd
 
-    def split(texts: pd.Series) -> pd.Series:
+    def split(texts):
         def one(text):
             parts, rest = [], text
             while rest:
@@ -69,4 +69,5 @@ def parts_of_key(key: Column) -> Column:
 
         return texts.map(one, na_action="ignore")
 
+    split.__annotations__ = {"texts": pd.Series, "return": pd.Series}  # as types: the module's annotations are texts
     return F.pandas_udf(split, "array<string>")(key)

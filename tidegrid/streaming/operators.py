@@ -15,26 +15,34 @@ def exact_dedup(stream: DataFrame, identity: list[str]) -> DataFrame:
     return stream.dropDuplicates(identity)
 
 
-def admit_by_batch(stream: DataFrame, *, table: str, out: str, checkpoint: str, identity: Column, order: list[str]):
+def admit_by_batch(stream: DataFrame, *, table: str, out: str, checkpoint: str, identity: Column, order: list[str], bucket: Column | None = None):
     """Writer that admits each batch's new identities: anti-join with the identity table, first in ``order`` of the batch.
 
-    Both are appended under the batch's number, so a batch that is run again replaces its own output: exactly once.
+    The table is kept in buckets (``bucket``, of identity_key and the batch's columns; else 256 by hash), and a batch reads only
+    the buckets its identities lie in; a bucket must follow from the identity alone, or repeats are missed. Both are appended
+    under the batch's number, so a batch that is run again replaces its own output: exactly once.
     """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         rows = batch.withColumn("identity_key", identity)
-        known = rows.where("identity_key is not null").groupBy("identity_key").agg(F.min_by(F.struct(*batch.columns), F.struct(*order)).alias("r"))
+        of = F.pmod(F.xxhash64("identity_key"), F.lit(256)) if bucket is None else bucket
+        rows = rows.withColumn("bucket", of.cast("long"))
+        first = F.min_by(F.struct(*batch.columns), F.struct(*order)).alias("r")
+        known = rows.where("identity_key is not null").groupBy("identity_key", "bucket").agg(first)
         try:
-            earlier = spark.read.parquet(table).where(F.col("batch") != number).select("identity_key")
-            known = known.join(earlier, "identity_key", "left_anti")
-        except Exception as error:  # noqa: BLE001 - the first batch has no table
-            if "PATH_NOT_FOUND" not in str(error):
+            earlier = spark.read.parquet(table).where(F.col("batch") != number)
+            met = known.select("bucket").distinct().limit(10_001).collect()  # which buckets to read; beyond 10,000 all are
+            if len(met) <= 10_000:
+                earlier = earlier.where(F.col("bucket").isin([r.bucket for r in met]))
+            known = known.join(earlier.select("identity_key"), "identity_key", "left_anti")
+        except Exception as error:  # noqa: BLE001 - the first batch has no table, or one without identities
+            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
                 raise
         known = known.persist()
         new = known.select("r.*").unionByName(rows.where("identity_key is null").select(*batch.columns))
         new.write.mode("overwrite").parquet(f"{out}/batch={number}")
-        known.select("identity_key").write.mode("overwrite").parquet(f"{table}/batch={number}")
+        known.select("identity_key", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/batch={number}")
         known.unpersist()
 
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
