@@ -99,3 +99,31 @@ def test_identity_keys_are_read_back(spark):
     keys = ["".join(f"{len(p)}:{p}" for p in x) for x in parts]
     df = spark.createDataFrame([(k,) for k in [*keys, None, "3:ab", "x:ab", "-1:a"]], "k string").coalesce(1)
     assert [r.p for r in df.select(exact.parts_of_key(F.col("k")).alias("p")).collect()] == [*parts, None, None, None, None]
+
+
+def test_receive_times_have_typed_reasons(spark):
+    from tidegrid.functions.clock import receive_time
+
+    name = "INVALID_LOCAL_RECEIVE_TS_"
+    cases = [("5", None), ("2024-01-01T00:00:00Z", None), (None, name + "NONE"), ("null", name + "NONE"), ("true", name + "BOOL"), ("abc", name + "NON_INT"), ("", name + "NON_INT"), ("-3", name + "NEGATIVE")]
+    df = spark.createDataFrame([(t,) for t, _ in cases], "t string").coalesce(1)
+    got = [r.x for r in df.select(receive_time(F.col("t")).alias("x")).collect()]
+    assert [x.reason for x in got] == [why for _, why in cases] and [x.ms for x in got[:3]] == [5, 1_704_067_200_000, None]
+
+
+def test_unreadable_files_are_reported(spark, tmp_path):
+    import pandas as pd
+
+    from tidegrid.sources import segments
+
+    (tmp_path / "trades").mkdir()
+    pd.DataFrame({"timestamp": pd.to_datetime([1_000, None, 3_000], unit="ms", utc=True), "x": [1, 2, 3]}).to_parquet(tmp_path / "trades" / "a.parquet")
+    pd.DataFrame({"timestamp": [7, 8]}).to_parquet(tmp_path / "trades" / "b.seg")
+    pd.DataFrame({"other": [7]}).to_parquet(tmp_path / "trades" / "c.seg")
+    (tmp_path / "trades" / "d.seg").write_bytes(b"no parquet")
+    (tmp_path / "trades" / "e.tmp").write_bytes(b"x")
+    out = segments.timestamps(spark, f"file://{tmp_path}").collect()
+    got = {}
+    for r in out:
+        got.setdefault(r.path.rsplit("/", 1)[1], []).append((r.t, r.problem is not None))
+    assert got == {"a.parquet": [(1_000, False), (None, False), (3_000, False)], "b.seg": [(7, False), (8, False)], "c.seg": [(None, True)], "d.seg": [(None, True)]}

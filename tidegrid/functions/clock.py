@@ -34,3 +34,15 @@ def coerce_ms(text: Column) -> Column:
     number = text.try_cast("double")
     whole = F.when(~F.isnan(number) & (F.abs(number) < 9e18), number.try_cast("long"))
     return F.coalesce(text.try_cast("long"), whole, F.unix_millis(text.try_cast("timestamp")))
+
+
+def receive_time(text: Column) -> Column:
+    """Struct (ms, reason) of a recorded receive time as text: reason is null, or INVALID_LOCAL_RECEIVE_TS_ and NONE, BOOL, NON_INT
+    (no time at all) or NEGATIVE. ISO times and decimal numbers are times (see ``coerce_ms``)."""
+    ms = coerce_ms(text)
+    name = "INVALID_LOCAL_RECEIVE_TS_"
+    reason = (
+        F.when(text.isNull() | F.lower(F.trim(text)).isin("null", "nat"), name + "NONE").when(F.lower(F.trim(text)).isin("true", "false"), name + "BOOL").when(ms.isNull(), name + "NON_INT")
+        .when(ms < 0, name + "NEGATIVE")
+    )
+    return F.struct(F.when(reason.isNull(), ms).alias("ms"), reason.alias("reason"))

@@ -99,3 +99,9 @@ def index_audit(on_disk: DataFrame, index: DataFrame, *, key: str, digest: str)
     met = a.withColumn("_x", F.lit(True)).join(b.withColumn("_y", F.lit(True)), key, "full_outer")
     reason = F.when(F.col("_y").isNull(), "missing_in_index").when(F.col("_x").isNull(), "missing_on_disk").when(~F.col("_a").eqNullSafe(F.col("_b")), "digest_differs")
     return met.withColumn("reason", reason).where("reason is not null").select(key, "reason")
+
+
+def rebuilt_index(rows: DataFrame, *, key: Column, segment: str) -> DataFrame:
+    """(identity_key, first_segment_id) as the segments themselves give it: the lowest segment that holds each identity. Rows
+    without an identity or a segment give none. To be held against the stored index with ``index_audit``."""
+    return rows.select(key.alias("identity_key"), F.col(segment).alias("_s")).where("identity_key is not null and _s is not null").groupBy("identity_key").agg(F.min("_s").alias("first_segment_id"))

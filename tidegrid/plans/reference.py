@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions import book as B
 from tidegrid.functions import exact
-from tidegrid.functions.clock import ceil_grid, coerce_ms, epoch_ms, purge_days
+from tidegrid.functions.clock import ceil_grid, coerce_ms, epoch_ms, purge_days, receive_time
 from tidegrid.operators import assembly, asof, bars, coverage, evidence, orderbook, replay, research, validation
 from tidegrid.operators.neighbours import with_adjacent, with_carried
 from tidegrid.session import read_table
@@ -848,3 +848,22 @@ def replay_counters(spark, d):
     symbol = F.coalesce(F.get_json_object("payload", "$.data.s"), F.get_json_object("payload", "$.s"))
     log = log.withColumn("ns", F.coalesce("ns", F.lit(-1))).withColumn("instrument_key", F.concat(F.lit("BYBIT|linear_perpetual|"), symbol, F.lit("|"), symbol))
     return replay.counters(replay.replay_frames(replay.ordered(log), venue="BYBIT"))
+
+
+@case(f"""with k as (select case when {KNOWN} then concat({", ".join(f"length({c}), ':', {c}" for c in IDS)}) end as identity_key, segment_id from trade_events),
+a as (select identity_key, min(segment_id) s from k where identity_key is not null and segment_id is not null group by 1), b as (select identity_key, first_segment_id s from seen_trade_ids)
+select coalesce(a.identity_key, b.identity_key) as identity_key, case when b.identity_key is null then 'missing_in_index' when a.identity_key is null then 'missing_on_disk' else 'digest_differs' end as reason
+from a full join b on a.identity_key = b.identity_key where b.identity_key is null or a.identity_key is null or a.s is distinct from b.s""")
+def rebuilt_index_audit(spark, d):
+    """The identity index rebuilt from the trades' segments, held against the stored one."""
+    made = evidence.rebuilt_index(_trades(spark, d), key=exact.framed_key(*[F.col(c) for c in IDS]), segment="segment_id")
+    return evidence.index_audit(made, read_table(spark, d, "seen_trade_ids"), key="identity_key", digest="first_segment_id")
+
+
+@case("""with v as (select record_id, payload ->> '$.local_timestamp' t from raw_records)
+select record_id, case when t is null or lower(trim(t)) in ('null', 'nat') then 'INVALID_LOCAL_RECEIVE_TS_NONE' when lower(trim(t)) in ('true', 'false') then 'INVALID_LOCAL_RECEIVE_TS_BOOL'
+ when coalesce(try_cast(t as bigint), epoch_ms(try_cast(t as timestamptz))) is null then 'INVALID_LOCAL_RECEIVE_TS_NON_INT' when coalesce(try_cast(t as bigint), epoch_ms(try_cast(t as timestamptz))) < 0
+ then 'INVALID_LOCAL_RECEIVE_TS_NEGATIVE' end as reason from v""")
+def receive_time_reasons(spark, d):
+    """Why the receive time of a recorded payload can't be used, if so."""
+    return read_table(spark, d, "raw_records").select("record_id", receive_time(F.get_json_object("payload", "$.local_timestamp"))["reason"].alias("reason"))

@@ -96,3 +96,32 @@ def missing_hours(entries: DataFrame) -> DataFrame:
 def finished_listing(listing: DataFrame) -> DataFrame:
     """Entries whose path names a finished segment. A null path is none."""
     return listing.where(F.col("path").endswith(".seg") | F.col("path").endswith(".parquet"))
+
+
+def timestamps(spark: SparkSession, root: str, *, column: str = "timestamp", glob: str = "*.{seg,parquet}") -> DataFrame:
+    """(path, t, problem) of the Parquet files below root: a row for each value of the time column (epoch ms, null stays null), or one
+    row with the problem of a file that can't be read or lacks the column. No file hides another's state, and none is dropped
+    unsaid. A task holds one file's bytes at a time, and of its columns only the time is decoded."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(root).select("path", "content")
+
+    def run(batches):
+        import io
+
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+
+        names = ["path", "t", "problem"]
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                try:
+                    found = pq.ParquetFile(io.BytesIO(content.as_py())).read([column])[column]
+                    t = pc.cast(found, pa.timestamp("ms", tz="UTC"), safe=False) if pa.types.is_timestamp(found.type) else found
+                    t = t.cast(pa.int64()).combine_chunks()
+                    if isinstance(t, pa.ChunkedArray):
+                        t = pa.concat_arrays(t.chunks) if t.num_chunks else pa.array([], pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(t), pa.string()), t, pa.nulls(len(t), pa.string())], names)
+                except (OSError, ValueError, KeyError) as error:  # Arrow's errors are among these
+                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([None], pa.int64()), pa.array([f"{type(error).__name__}: {error}"[:500]])], names)
+
+    return raw.mapInArrow(run, "path string, t long, problem string")
