@@ -221,6 +221,8 @@ def frames_of_ladders(ladders: DataFrame) -> DataFrame:
     rows = ladders.select(
         "instrument_key", "seq", _last_of_each_price(F.col("bids_price"), F.col("bids_qty")).alias("b"), _last_of_each_price(F.col("asks_price"), F.col("asks_qty")).alias("a")
     )
+    parts = int(ladders.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a set number: small shuffles would be run together in one task
+    rows = rows.repartition(parts, "instrument_key")
     inf = F.lit(float("inf"))
     valid = lambda x: F.coalesce((x["p"] > 0) & (x["p"] < inf) & (x["q"] >= 0) & (x["q"] < inf), F.lit(False))
     held = lambda side: F.transform(F.filter(side, lambda x: x["q"] > 0), lambda x: x["p"])
@@ -278,4 +280,5 @@ def reconstruct(frames: DataFrame, *, capacity: int = 10_000) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
 
     known = frames.select(*columns).where("instrument_key is not null and seq is not null")
-    return known.repartition("instrument_key").sortWithinPartitions("instrument_key", "seq").mapInArrow(run, SCHEMA)
+    parts = int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a set number: small shuffles would be run together in one task
+    return known.repartition(parts, "instrument_key").sortWithinPartitions("instrument_key", "seq").mapInArrow(run, SCHEMA)
